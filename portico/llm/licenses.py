@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 THRESHOLD = 0.8
+#: Words too common to look for unless nothing else is left.
+COMMON = set("a an and any are as by for from free use in is it may not of on or that the this to under with you without following source public version software".split())
 #: ASCII but for digits and a-z, after lower-casing.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -36,24 +40,29 @@ def template_bigrams(text: str) -> list[str]:
 
 
 def _bigrams(unit: Column) -> Column:
-    """Distinct pairs of successive words of a text, A-Z lower-cased already."""
+    """Distinct pairs of successive words of a text, A-Z lower-cased already. The words are bound once, by a lambda."""
     words = F.filter(F.split(F.regexp_replace(unit, BREAK, " "), " "), lambda w: w != "")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i.cast("int")), F.element_at(words, (i + 1).cast("int"))))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    pairs = F.transform(F.array(words), lambda w: F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda x, y: F.concat_ws(" ", x, y))))
+    return F.when(F.size(words) > 1, pairs[0]).otherwise(F.array().cast("array<string>"))
 
 
-def needles(templates: list[tuple[str, str]], threshold: float) -> list[str]:
-    """Bigrams of which any text near enough to a template has one.
+def gate_words(templates: list[tuple[str, str]], threshold: float) -> list[str]:
+    """Words of which any text near enough to a template has one, few and long.
 
-    A Dice of t takes at least t / (2 - t) of a template's b bigrams, so one of any b - ceil(b t / (2 - t)) + 1
-    of them; the longest ones are taken, as they are rarest.
+    A Dice of t takes at least t / (2 - t) of a template's b bigrams, so one of any b - ceil(b t / (2 - t)) + 1 of
+    them: words are taken, those first that serve most templates, until so many bigrams of each hold one.
     """
-    out = set()
+    left = []
     for _, text in templates:
-        grams = template_bigrams(text)
-        need = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
-        out |= set(sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - need + 1])
-    return sorted(out)
+        grams = [set(g.split(" ")) for g in template_bigrams(text)]
+        left.append((grams, len(grams) - math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9) + 1))
+    taken: set[str] = set()
+    missing = lambda grams, need: need - sum(bool(g & taken) for g in grams)
+    while open_ := [(grams, need) for grams, need in left if missing(grams, need) > 0]:
+        words = {w for grams, _ in open_ for g in grams if not g & taken for w in g}
+        gain = lambda w: sum(min(sum(w in g for g in grams if not g & taken), missing(grams, need)) for grams, need in open_)
+        taken.add(max(sorted(words), key=lambda w: (w not in COMMON, gain(w), len(w))))
+    return sorted(taken)
 
 
 def license_scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -62,13 +71,12 @@ def license_scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", te
     Units are the text as a whole and each of its lines; n_matches of them have a Dice of at least `threshold`
     with some template. `license` is the id with the highest Dice (then the smallest id), null without a match.
     Of the templates only those are compared whose number of bigrams b fits the unit's a: a t / (2 - t) <= b <=
-    a (2 - t) / t. All of it happens within a row; nothing is shuffled. A text without any of the bigrams that
+    a (2 - t) / t. All of it happens within a row; nothing is shuffled. A text without any of the words that
     a match needs is passed over at once.
 
     Null or empty text: one empty unit, no match. Null or repeated ids: each row by itself. Empty table: no rows.
     """
     t, low = threshold, normalised(F.col(text))
-    short = "|".join(re.escape(n).replace(r"\ ", " ") for n in needles(templates, threshold))
     table = F.array(*[F.struct(F.lit(name).alias("license"), F.array(*[F.lit(g) for g in template_bigrams(body)]).alias("grams")) for name, body in templates])
     units = F.concat(F.array(F.col("_low")), F.when(F.instr("_low", "\n") > 0, F.split("_low", "\n")).otherwise(F.array().cast("array<string>")))
 
@@ -80,8 +88,11 @@ def license_scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", te
 
     best = F.filter(F.transform(F.transform(units, _bigrams), lambda g: F.try_element_at(matches(g), F.lit(1))), lambda m: m.isNotNull())
     kind = "array<struct<dice:double,license:string>>"
+    signs = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+    apart = F.concat(F.lit(" "), F.translate("_low", signs, " " * len(signs)), F.lit(" "))
+    gate = F.exists(F.array(apart), lambda x: reduce(or_, [F.contains(x, F.lit(f" {w} ")) for w in gate_words(templates, threshold)]))
     rows = docs.select(F.col(doc_id).alias("doc_id"), low.alias("_low"))
-    rows = rows.select("doc_id", F.size(units).cast("long").alias("n_units"), F.when(F.regexp_replace("_low", BREAK, " ").rlike(short), best).otherwise(F.array().cast(kind)).alias("m"))
+    rows = rows.select("doc_id", F.size(units).cast("long").alias("n_units"), F.when(gate, best).otherwise(F.array().cast(kind)).alias("m"))
     top = F.try_element_at(F.array_sort("m", lambda x, y: F.when(x["dice"] > y["dice"], -1).when(x["dice"] < y["dice"], 1).when(x["license"] < y["license"], -1).when(x["license"] > y["license"], 1).otherwise(0)), F.lit(1))
     return rows.select("doc_id", "n_units", F.size("m").cast("long").alias("n_matches"), top["license"].alias("license"), F.round(top["dice"], 9).alias("dice"))
 
