@@ -59,6 +59,24 @@ class SnapshotStore:
         return read_version + 1
 
 
+class Scratch:
+    """Written intermediate tables beside a store: each ends the lineage of what goes on from it; all go at the end."""
+
+    def __init__(self, store: SnapshotStore):
+        self.store, self.folder = store, f"{store.folder}/scratch-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.store.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        self.store._fs.delete(self.store._path(self.folder), True)
+
+
 def with_retries(store: SnapshotStore, attempt) -> int:
     """Runs attempt(version) -> tables, or None for nothing to do, and commits; reads again when another writer was first."""
     for k in range(ATTEMPTS):

@@ -191,7 +191,8 @@ def run_machine(path):
 
 def test_crossings(spark):
     r = random.Random(5)
-    paths = {k: [(t, r.choice([0, 20, 49, 50, 51, 80, 100])) for t in range(r.choice([5, 6, 8, 40]))] for k in range(60)}
+    runs = lambda: [x for _ in range(20) for x in [r.choice([0, 49, 80])] * r.randint(1, 5)]
+    paths = {k: list(enumerate(runs()[: r.choice([5, 6, 8, 40])])) for k in range(60)}
     df = spark.createDataFrame([(k, n, t, float(x), 0.0) for k, p in paths.items() for n, (t, x) in enumerate(p)], "track_id long, pos int, t long, x double, y double")
     got = sorted((c["track_id"], c["t"], c["event_type"]) for c in crossing.crossings(df, (50.0, 0.0), (50.0, 100.0)).collect())
     assert got == sorted((k, *e) for k, p in paths.items() for e in run_machine(p))
