@@ -66,7 +66,7 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that stay, once each, all columns as they are."""
+    """The rows of `docs` that stay, all columns as they are; rows that repeat an id and its text stay or go together."""
     drop = exact_dedup(docs, text, doc_id).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
     return docs.join(drop, docs[doc_id] == F.col("_dropped"), "left_anti")
 
