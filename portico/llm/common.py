@@ -98,11 +98,15 @@ def _slot(ids: Column) -> Column:
 
 def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     """A bit for each slot that an id of `ids` falls into, as at most 256 words of 4 KB on the driver."""
-    slot = _slot(F.col(column))
-    rows = ids.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
-    out = np.zeros(FILTER_SLOTS // 8 + 8192, dtype=np.uint8)
+    return slot_filter(ids, _slot(F.col(column)), FILTER_SLOTS)
+
+
+def slot_filter(rows: DataFrame, slot: Column, slots: int) -> np.ndarray:
+    """A bit for each of `slots` slots that a row falls into: slots / 8 bytes on the driver, whatever the rows."""
+    rows = rows.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(slots // 8 + 8192, dtype=np.uint8)
     for r in rows:
-        start = (r["part"] - 1) * 4096 if r["part"] > 0 else FILTER_SLOTS // 8
+        start = (r["part"] - 1) * 4096 if r["part"] > 0 else slots // 8
         out[start : start + 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
     return out
 

@@ -14,15 +14,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, gather_blobs, id_filter, in_filter, parallelism, stored, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
 PERCENT = 75
-#: The most frequent shingles go last in the order; at most so many are told to all tasks (4 MB).
-FREQUENT = 1 << 18
+#: Frequent shingles go last in the order, by tier of estimated frequency. Each tier is told to all tasks as a Bloom
+#: filter of so many slots (4 MB), whatever the input; a false alarm only moves a shingle in the order, the same for all.
+TIERS, TIER_SLOTS = (16, 128, 1024, 8192), 1 << 25
+#: Leaders of each list that its other sets are compared with in one round.
+LEADERS = 4
+ROUNDS = 2
 #: A shingle is a candidate for that list if a task met it in so many of its own documents.
-LOCAL_FREQUENT, LEAST_FREQUENT = 2, 16
+LOCAL_FREQUENT = 2
 #: Entries of a list that one task compares with so many others.
 LIST_BLOCK = 4096
 #: Entries of a block of an index list that are skipped at once.
@@ -79,18 +83,25 @@ def _frequent(words: int):
     return run
 
 
-def frequent_shingles(docs: DataFrame, words: int = WORDS, most: int = FREQUENT) -> np.ndarray:
-    """The shingles of most sets, most frequent last, at most `most`. They only shape the order: an estimate will do."""
-    found = docs.select("text").mapInArrow(_frequent(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = found.where(F.col("n") >= LEAST_FREQUENT).orderBy(F.col("n").desc(), "shingle").limit(most).toPandas()
-    return rows["shingle"].to_numpy(np.int64).view(np.uint64)[::-1].copy()
+def frequent_shingles(docs: DataFrame, words: int = WORDS) -> list[np.ndarray]:
+    """The tiers' filters. They only shape the order: an estimate will do."""
+    found = stored(docs.select("text").mapInArrow(_frequent(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= TIERS[0]))
+    slot = F.col("shingle").bitwiseAND(F.lit(TIER_SLOTS - 1))
+    return [slot_filter(found.where(F.col("n") >= least), slot, TIER_SLOTS) for least in TIERS]
+
+
+def tiers_of(filters: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
+    """The highest tier that a shingle seems to belong to, 0 for none."""
+    slot = (shingles & np.uint64(TIER_SLOTS - 1)).astype(np.int64)
+    at = np.where(slot > 0, slot - 1, np.int64(TIER_SLOTS))
+    out = np.zeros(len(shingles), np.int8)
+    for k, bits in enumerate(filters):
+        out[in_filter(bits, at)] = k + 1
+    return out
 
 
 def _index_blobs(frequent, words: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = frequent.value
-        names = np.sort(order)
-        rank = np.argsort(order, kind="stable")
         members: list[tuple[int, int, int]] = []
         held: list[tuple[np.ndarray, int, int]] = []
         seen: set[int] = set()
@@ -106,10 +117,7 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                 length = np.array([len(h[0]) for h in held])
                 at = np.arange(len(key)) - np.repeat(np.cumsum(length) - length, length)
                 name, n = np.repeat([h[1] for h in held], length), np.repeat([h[2] for h in held], length)
-                hot = np.zeros(len(key), bool)
-                if len(names):
-                    k = np.minimum(np.searchsorted(names, key), len(names) - 1)
-                    hot = names[k] == key
+                hot = tiers_of(frequent.value, key) > 0
                 deal = np.where(hot, mix(key ^ name.astype(np.int64).view(np.uint64)), mix(key))  # frequent ones lie anywhere
                 out += bucketed_blobs(1, deal, [key, name.astype("<i8"), n.astype("<i4"), at.astype("<i4")], buckets)
             return blob_batch(out)
@@ -123,11 +131,9 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                 if len(s) and name not in seen:
                     seen.add(name)
                     p = prefix_length(len(s), percent)
-                    if len(names):
-                        k = np.minimum(np.searchsorted(names, s), len(names) - 1)
-                        hot = names[k] == s
-                        if hot.any():
-                            s = np.concatenate([s[~hot], s[hot][np.argsort(rank[k[hot]], kind="stable")]])
+                    tier = tiers_of(frequent.value, s)
+                    if tier.any():
+                        s = s[np.argsort(tier, kind="stable")]
                     held.append((s[:p].copy(), name, len(s)))
                     size += 24 * p
                 if size > FLUSH_BYTES:
@@ -163,7 +169,7 @@ def _index_rows(frequent):
         keep = np.zeros(len(key), bool)
         keep[1:] |= same
         keep[:-1] |= same
-        keep |= np.isin(key, frequent.value)
+        keep |= tiers_of(frequent.value, key) > 0
         key, name, n, pos = key[keep].view(np.int64), name[keep], n[keep], pos[keep]
         for k in range(0, len(key), 1 << 16):
             s = slice(k, k + (1 << 16))
@@ -301,12 +307,21 @@ class JaccardJoin:
         links = self.answered(pairs)
         self.links = stored(links if self.links is None else self.links.unionByName(links))
 
-    def leaders(self) -> None:
-        """Each list's sets are compared with its leader, component by component: as many pairs as entries at most."""
+    def leaders(self, turn: int) -> None:
+        """Each list's sets are compared with a few leaders of other components, the same ones in lists of the same sets.
+
+        Leaders are the first by several hashes of their names. Pairs are at most LEADERS times the entries.
+        """
         e = self.with_components()
-        lead = e.groupBy("shingle").agg(F.min(F.struct("component", "name", "n")).alias("lead"))
-        pairs = e.join(lead, "shingle").where("component <> lead.component").select(F.col("lead.name").alias("a"), F.col("name").alias("b"), F.col("lead.n").alias("na"), F.col("n").alias("nb"))
-        self.learn(pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared")).where(_enough(self.percent)))
+        lead = lambda k: F.min_by(F.struct("component", "name", "n"), F.xxhash64("name", F.lit(turn * LEADERS + k)))
+        leads = e.groupBy("shingle").agg(F.array_distinct(F.array(*[lead(k) for k in range(LEADERS)])).alias("leads"), F.count("*").alias("size")).where("size > 1").drop("size")
+        met = e.join(leads, "shingle").select("name", "n", "component", F.explode("leads").alias("lead")).where("component <> lead.component")
+        low = F.col("name") < F.col("lead.name")
+        side = lambda x, y: F.when(low, F.col(x)).otherwise(F.col(y))
+        pairs = met.select(side("name", "lead.name").alias("a"), side("lead.name", "name").alias("b"), side("n", "lead.n").alias("na"), side("lead.n", "n").alias("nb"), side("name", "lead.name").eqNullSafe(F.col("name")).alias("way"))
+        # a list in which both lead has the pair twice: each way is counted alone
+        one = pairs.groupBy("a", "b", "way").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
+        self.learn(one.where(_enough(self.percent)).select("a", "b").distinct())
 
     def lists(self) -> None:
         """All pairs of different components in lists that still hold more than one; long lists as pairs of blocks."""
@@ -326,15 +341,15 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     sequence, one without words (or null) none and links with nothing. Sets link when their Jaccard similarity is
     at least `percent` / 100. component_id is the smallest id reachable by links, its own included.
 
-    Equal sets are one set. Two rounds answer the pairs of each list with its leader; sets linked by then
+    Equal sets are one set. Two rounds answer the pairs of each list with its leaders; sets linked by then
     share their answers, and only pairs of different components are left for the last round, which misses none.
     Pairs are answered by the whole sets. Null ids: size only, component null, and they link nothing. Rows that
     repeat an id are repeated in the result. Empty table: no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     join = JaccardJoin(rows.where("doc_id is not null"), words, percent)
-    join.leaders()
-    join.leaders()
+    for turn in range(ROUNDS):
+        join.leaders(turn)
     join.lists()
     comp = components(join.links, "a", "b").withColumnRenamed("vertex", "name")
     sets = join.holders.where("name <> 0").join(comp, "name", "left").withColumn("component", F.coalesce("component", "name"))

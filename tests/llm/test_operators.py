@@ -156,7 +156,7 @@ def brute_components(sets):
 @pytest.mark.parametrize("seed", [4, 5])
 def test_jaccard_join(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 3)
-    monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 4)
+    monkeypatch.setattr(jaccard_join, "TIERS", (4, 8, 64))
     rows = corpus(seed)
     found = rows_of(jaccard_join.jaccard_components(docs_of(spark, rows).repartition(3)))
     sets = brute_sets(rows)
