@@ -31,6 +31,10 @@ LOCAL_FREQUENT = 2
 LIST_BLOCK = 4096
 #: Entries of a block of an index list that are skipped at once.
 SKIP = 64
+#: Lists of so many entries are bounded pair by pair with signatures of so many bits; shorter ones have few pairs an entry.
+SIGNED, SIGN_BITS = 16, 2048
+#: Pairs that are bounded at once.
+SIGN_PAIRS = 1 << 15
 ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"]}
 
 
@@ -52,6 +56,21 @@ def set_hash(s: np.ndarray) -> int:
     return int(mix(np.array([(mix(s) * odd).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).astype(np.int64)[0])
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """For each slot the parity of the set's shingles in it: signatures differ in no more bits than their sets in shingles."""
+    odd = np.bincount((mix(s) % np.uint64(SIGN_BITS)).astype(np.int64), minlength=SIGN_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def near_signatures(signs: np.ndarray, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether the signatures of rows p and q differ in at most `most` bits."""
+    out = np.zeros(len(p), bool)
+    for k in range(0, len(p), SIGN_PAIRS):
+        s = slice(k, k + SIGN_PAIRS)
+        out[s] = np.bitwise_count(signs[p[s]] ^ signs[q[s]]).sum(axis=1, dtype=np.int64) <= most[s]
+    return out
+
+
 def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
     data, offsets = text_buffer(batch["text"])
     for first, _, block, at in blocks(data, offsets):
@@ -197,21 +216,22 @@ def _list_pairs(percent: int):
         return pa.record_batch([pa.array(a[cut]), pa.array(b[cut]), pa.array(na[cut]), pa.array(nb[cut]), pa.array(np.diff(np.r_[cut, len(a)]).astype(np.int64))], names=["a", "b", "na", "nb", "shared"])
 
     def lists(batches):
-        parts = [[batch[c].to_numpy() for c in ("shingle", "left", "right", "own", "name", "n", "pos", "component")] for batch in batches if batch.num_rows]
+        parts = [[batch[c].to_numpy(zero_copy_only=False) for c in ("shingle", "left", "right", "own", "name", "n", "pos", "component")] + [batch["sign"].to_numpy(zero_copy_only=False)] for batch in batches if batch.num_rows]
         if not parts:
             return
-        key, left, right, own, name, n, pos, comp = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key, left, right, own, name, n, pos, comp, sign = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((pos, right, left, key))
-        key, left, right, own, name, n, pos, comp = (x[order] for x in (key, left, right, own, name, n, pos, comp))
+        key, left, right, own, name, n, pos, comp, sign = (x[order] for x in (key, left, right, own, name, n, pos, comp, sign))
         new = (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
         cuts = np.r_[0, np.flatnonzero(new) + 1, len(key)]
         for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if j - i > 1:
-                yield left[i], right[i], own[i:j], name[i:j], n[i:j].astype(np.int64), pos[i:j].astype(np.int64), comp[i:j]
+                signs = None if sign[i] is None else np.frombuffer(b"".join(sign[i:j]), np.uint64).reshape(j - i, -1)
+                yield left[i], right[i], own[i:j], name[i:j], n[i:j].astype(np.int64), pos[i:j].astype(np.int64), comp[i:j], signs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for left, right, own, name, n, pos, comp in lists(batches):
+        for left, right, own, name, n, pos, comp, signs in lists(batches):
             longest = int(n.max())
             for i in range(0, len(name), SKIP):
                 x = slice(i, i + SKIP)
@@ -227,6 +247,9 @@ def _list_pairs(percent: int):
                 if left != right:
                     ok &= own[x][:, None] != own[y][None, :]
                 p, q = np.nonzero(ok)
+                if signs is not None and len(p):
+                    near = near_signatures(signs, p + i, q + i, n[x][p] + n[y][q] - 2 * needed(n[x][p], n[y][q], percent))
+                    p, q = p[near], q[near]
                 if len(p):
                     a, b = name[x][p], name[y][q]
                     swap = a > b
@@ -242,14 +265,14 @@ def _list_pairs(percent: int):
     return run
 
 
-def _doc_sets(bits, words: int):
+def _doc_sets(bits, words: int, form):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.filter(pa.array(in_filter(bits.value, batch["slot"].to_numpy(zero_copy_only=False).astype(np.int64))))
             ids = rows["doc_id"].to_pylist()
-            out = [(ids[k], s.tobytes()) for k, s in _sets(rows, words)]
+            out = [(ids[k], set_hash(s), form(s).tobytes()) for k, s in _sets(rows, words)]
             if out:
-                yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["doc_id", "shingles"])
+                yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["doc_id", "name", "form"])
 
     return run
 
@@ -287,13 +310,17 @@ class JaccardJoin:
         self.holders = self.members.groupBy("name").agg(F.min("doc_id").alias("doc_id"))
         self.links = None
 
+    def forms(self, names: DataFrame, form) -> DataFrame:
+        """(name, form) of the named sets, read again from one text of each; a row that repeats an id counts by its own set."""
+        wanted = stored(names.distinct().join(self.holders, "name"))
+        bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
+        found = with_slot(self.docs.select("doc_id", "text"), "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words, form), "doc_id long, name long, form binary")
+        return stored(found.join(wanted, ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "form"))
+
     def answered(self, pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b) of set names those that link, from the whole sets."""
         pairs = stored(pairs.select("a", "b"))
-        wanted = stored(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct().join(self.holders, "name"))
-        bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
-        sets = with_slot(self.docs.select("doc_id", "text"), "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words), "doc_id long, shingles binary")
-        sets = stored(sets.dropDuplicates(["doc_id"]).join(wanted, "doc_id").select("name", "shingles"))
+        sets = self.forms(pairs.select(F.col("a").alias("name")).union(pairs.select("b")), np.asarray).withColumnRenamed("form", "shingles")
         both = pairs.join(sets.select(F.col("name").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("name").alias("b"), F.col("shingles").alias("set_b")), "b")
         return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long")
 
@@ -324,12 +351,19 @@ class JaccardJoin:
         self.learn(one.where(_enough(self.percent)).select("a", "b").distinct())
 
     def lists(self) -> None:
-        """All pairs of different components in lists that still hold more than one; long lists as pairs of blocks."""
+        """All pairs of different components in lists that still hold more than one; long lists as pairs of blocks.
+
+        Sets in lists of SIGNED entries or more bring their signatures, so that a pair that cannot link ends in the list.
+        """
         e = stored(self.with_components())
-        size = e.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks")).where("low <> high").select("shingle", "blocks")
-        e = e.join(size, "shingle").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+        size = e.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"), (F.count("*") >= SIGNED).alias("long")).where("low <> high").select("shingle", "blocks", "long")
+        e = stored(e.join(size, "shingle"))
+        signs = self.forms(e.where("long").select("name"), signature).withColumnRenamed("form", "sign")
+        plain = e.where("not long").withColumn("sign", F.lit(None).cast("binary"))
+        e = plain.unionByName(e.where("long").join(signs, "name"))
+        e = e.withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        e = e.select("shingle", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "name", "n", "pos", "component")
+        e = e.select("shingle", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "name", "n", "pos", "component", "sign")
         pairs = e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent), "a long, b long, na long, nb long, shared long")
         self.learn(pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared")).where(_enough(self.percent)))
 

@@ -157,6 +157,7 @@ def brute_components(sets):
 def test_jaccard_join(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 3)
     monkeypatch.setattr(jaccard_join, "TIERS", (4, 8, 64))
+    monkeypatch.setattr(jaccard_join, "SIGNED", 3)
     rows = corpus(seed)
     found = rows_of(jaccard_join.jaccard_components(docs_of(spark, rows).repartition(3)))
     sets = brute_sets(rows)
@@ -170,6 +171,36 @@ def test_jaccard_join(spark, seed, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == set(want.values())
 
 
+@pytest.mark.parametrize("signed", [2, 1 << 30])
+def test_jaccard_list_pairs(spark, signed, monkeypatch):
+    """The last round alone, without leaders, finds all links with and without signatures."""
+    monkeypatch.setattr(jaccard_join, "SIGNED", signed)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    rows = corpus(5)
+    found = rows_of(jaccard_join.jaccard_components(docs_of(spark, rows).repartition(3)))
+    assert {i: r["component_id"] for i, r in found.items()} == brute_components(brute_sets(rows))
+
+
+def test_jaccard_repeated_ids(spark):
+    """Texts that share an id are judged each by its own set."""
+    a, b = "a b c d e f g h i j k l m n o p q r s t u v", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22"
+    rows = [(5, a, None), (5, b, None), (1, a + " w", None), (2, b + " 23", None)]
+    found = jaccard_join.jaccard_components(docs_of(spark, rows).repartition(2)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(1, 1), (2, 2), (5, 1), (5, 2)]
+
+
+def test_signatures():
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        x, y = (np.unique(r.integers(0, 4000, r.integers(1, 3000)).astype(np.uint64)) for _ in range(2))
+        apart = len(np.setxor1d(x, y))
+        signs = np.stack([jaccard_join.signature(x), jaccard_join.signature(y)])
+        differ = int(np.bitwise_count(signs[0] ^ signs[1]).sum())
+        assert differ <= apart
+        near = jaccard_join.near_signatures(signs, np.array([0, 0]), np.array([1, 1]), np.array([differ, differ - 1]))
+        assert near.tolist() == [True, False]
+
+
 def test_jaccard_join_empty(spark):
     assert jaccard_join.jaccard_components(docs_of(spark, [])).count() == 0
 
