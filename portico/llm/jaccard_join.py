@@ -32,7 +32,7 @@ LIST_BLOCK = 4096
 #: Entries of a block of an index list that are skipped at once.
 SKIP = 64
 #: Lists of so many entries are bounded pair by pair with signatures of so many bits; shorter ones have few pairs an entry.
-SIGNED, SIGN_BITS = 16, 2048
+SIGNED, SIGN_BITS = 8, 2048
 #: Pairs that are bounded at once.
 SIGN_PAIRS = 1 << 15
 ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"]}
