@@ -6,6 +6,7 @@ detections. It is sequential for a device and parallel over devices; a group's d
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -269,6 +270,24 @@ def chained(chain: list[Fragment]) -> Fragment:
     )
 
 
+def apart(pairs: Iterable[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Pairs (earlier, later) in groups that share neither an earlier nor a later fragment, so each is assigned by itself."""
+    root: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def top(v: tuple[int, int]) -> tuple[int, int]:
+        while root.setdefault(v, v) != v:
+            root[v] = v = root[root[v]]
+        return v
+
+    pairs = list(pairs)
+    for i, j in pairs:
+        root[top((0, i))] = top((1, j))
+    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for i, j in pairs:
+        out.setdefault(top((0, i)), []).append((i, j))
+    return list(out.values())
+
+
 def linked(parts: list[Fragment], begin: float, end: float) -> list[Fragment]:
     """Fragments joined to longer tracks, in at most two rounds."""
     for _ in range(LINK_ROUNDS):
@@ -276,11 +295,16 @@ def linked(parts: list[Fragment], begin: float, end: float) -> list[Fragment]:
         if not costs:
             break
         n = len(parts)
-        whole = np.full((n, 2 * n), FAR)
-        for (i, j), c in costs.items():
-            whole[i, j] = c + TIE * (i * n + j + 1)
-        whole[range(n), range(n, 2 * n)] = LINK_COST + TIE * (np.arange(n) + 1)
-        after = {i: j for i, j in assign(whole) if (i, j) in costs}
+        after = {}
+        for pairs in apart(costs):
+            rows, columns = sorted({i for i, _ in pairs}), sorted({j for _, j in pairs})
+            at, to = {i: k for k, i in enumerate(rows)}, {j: k for k, j in enumerate(columns)}
+            m, own = len(rows), len(columns)
+            whole = np.full((m, own + m), FAR)
+            for i, j in pairs:
+                whole[at[i], to[j]] = costs[i, j] + TIE * (i * n + j + 1)
+            whole[range(m), range(own, own + m)] = LINK_COST + TIE * (np.array(rows) + 1)
+            after |= {rows[i]: columns[j] for i, j in assign(whole) if j < own and (rows[i], columns[j]) in costs}
         if not after:
             break
         out = []
@@ -303,9 +327,11 @@ def track(detections: pd.DataFrame) -> list[Fragment]:
         raise ValueError("frame times must be finite")
     live: list[Fragment] = []
     every: list[Fragment] = []
-    for index, ((now, frame), rows) in enumerate(d.groupby(["timestamp", "_f"], sort=False)):
-        rows = rows[rows["detection_id"].notna()]
-        obs = rows[["timestamp", "cx", "cy", "x1", "y1", "x2", "y2", "confidence"]].to_numpy(float)
+    times, frames, real = d["timestamp"].to_numpy(float), d["_f"].to_numpy(object), d["detection_id"].notna().to_numpy()
+    values = d[["timestamp", "cx", "cy", "x1", "y1", "x2", "y2", "confidence"]].to_numpy(float)
+    cuts = np.flatnonzero((times[1:] != times[:-1]) | (frames[1:] != frames[:-1])) + 1
+    for index, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(d)], strict=True) if len(d) else ()):
+        now, frame, obs = times[a], frames[a], values[a:b][real[a:b]]
         high, low = obs[obs[:, CONF] >= HIGH], obs[(obs[:, CONF] >= LOW) & (obs[:, CONF] < HIGH)]
         live = [f for f in live if now - f.seen <= (ACTIVE_SECONDS if f.active else TENTATIVE_SECONDS)]
         if live:

@@ -484,8 +484,8 @@ def detection_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def track(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tracks of made-up detections: each user walks, five frames a second, in the field of one of eight cameras."""
-    e = footfall.events_table(spark, sf_dir).where("event_id % 5 = 0")
+    """Tracks of made-up detections: at each event its user walks ten frames, five a second, in the field of one of eight cameras."""
+    e = footfall.events_table(spark, sf_dir)
     step = F.posexplode(F.sequence(F.lit(0), F.lit(9))).alias("i", "s")
     walk = e.select(F.pmod("user_id", F.lit(8)).alias("device_id"), "event_id", (F.unix_timestamp(F.date_trunc("second", "ts")) - CREATED).alias("t0"), "value", step)
     x, y = F.col("value") * 5 + F.col("s") * 4, F.pmod("event_id", F.lit(40)) * 10 + F.col("s") * 2
