@@ -30,6 +30,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices that are wrapped, inside a line or part of a longer text, which op5_license_scan's units do not show."""
+    return licenses.license_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
 
@@ -50,5 +55,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_dedup, op3_mixing, op4_quality, op5_license_scan, op6_toxicity, op7_packing, op8_url_filter, op9_embedding_near_dedup, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_exact_dedup, op3_mixing, op4_quality, op5_license_scan, op5_license_passages, op6_toxicity, op7_packing, op8_url_filter, op9_embedding_near_dedup, op10_jaccard_join)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op3_mixing": mixing.ORACLE, "op5_license_scan": licenses.ORACLE, "op8_url_filter": url_rules.ORACLE, "op9_embedding_near_dedup": embedding_join.ORACLE}

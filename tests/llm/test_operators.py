@@ -289,6 +289,32 @@ def test_license_scan(spark):
     assert licenses.license_scan(docs_of(spark, [])).count() == 0
 
 
+def test_license_passages(spark):
+    """Wrapped, full and inline notices are found; each row against all windows tried in Python."""
+    import textwrap
+
+    body, short = dict(licenses.BODIES), dict(licenses.TEMPLATES)
+    wrapped = "\n".join(" * " + line for line in textwrap.wrap(body["MIT"], 60))
+    gpl = "\n# ".join(textwrap.wrap(dict(licenses.BODIES)["GPL-3.0"], 50))
+    prose = " ".join(f"word{k}" for k in range(200))
+    rows = [(1, f"Copyright 2020\n\n{wrapped}\n\n{prose}", "s"), (2, f"{prose} # {gpl}", "s"), (3, f"{prose}\n{textwrap.fill(body['BSD-3-Clause'], 70)}", "s"), (4, f"The code is Released under the MIT License. {prose}", "s"), (5, textwrap.fill(short["ISC"], 40) + prose, "s")]
+    rows += [(6, prose, "s"), (7, None, None), (8, "", None), (9, "license", None), (10, "This program is free software and the License of it", "s"), (None, "a " * 5000 + "\nLicensed under CC BY-NC 4.0.", "s")]
+    found = {r["doc_id"]: r for r in licenses.license_passages(docs_of(spark, rows)).collect()}
+    for i, text, _ in rows:
+        w = re.sub(licenses.BREAK, " ", lower(text)).split()
+        pairs = [f"{x} {y}" for x, y in zip(w, w[1:], strict=False)]
+        best = []
+        for name, t in licenses.TEMPLATES + licenses.BODIES:
+            b = set(licenses.template_bigrams(t))
+            dice = [2 * len(b & set(g)) / (len(set(g)) + len(b)) for g in (pairs[k : k + len(b)] for k in range(len(pairs)) if pairs[k] in b)]
+            best += [(-max(dice), name)] if dice and max(dice) >= 0.8 else []
+        assert (found[i]["n_licenses"], found[i]["license"], found[i]["dice"]) == (len({n for _, n in best}), min(best)[1] if best else None, round(-min(best)[0], 9) if best else None)
+    assert [found[k]["license"] for k in (1, 2, 3, 4, 5, None)] == ["MIT", "GPL-3.0", "BSD-3-Clause", "MIT", "ISC", "CC-BY-NC-4.0"]
+    missed = {r["doc_id"] for r in licenses.license_scan(docs_of(spark, rows)).where("license is null").collect()}
+    assert {1, 2, 3, 4} <= missed
+    assert licenses.license_passages(docs_of(spark, [])).count() == 0
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
