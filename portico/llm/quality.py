@@ -105,7 +105,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     ranked = scored.withColumn("one", F.lit(1)).withColumn("all", F.lit(0)).withColumn("rank", rank)
     budget = spark.range(1).select(F.lit(0).alias("all"), F.lit(float(k)).alias("budget"))
     bound = thresholds(ranked, "all", "rank", "one", budget).first() if k else None
-    return ranked.select("doc_id", "log_ratio", "score", "n_grams", (F.col("rank") < F.lit(bound["bound"] if bound else 0)).alias("kept"))
+    last = bound["bound"] + int(bound["at_bound"] > 0 and bound["below"] < k) if bound else 0  # ties at the end stay, unless k are full before them
+    return ranked.select("doc_id", "log_ratio", "score", "n_grams", (F.col("rank") < F.lit(last)).alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -398,6 +398,17 @@ def test_quality_sample_is_the_top_k(spark):
     assert min(r["log_ratio"] for r in rows if r["kept"]) < max(r["log_ratio"] for r in rows if not r["kept"])
 
 
+def test_quality_keeps_ties_at_the_end(spark):
+    """Rows that repeat an id and its text stay or go together, and at least k stay."""
+    df, labels = labelled(spark, 120)
+    rows = [(r["doc_id"], r["text"], "s") for r in df.collect() for _ in range(7 if r["doc_id"] % 6 else 1)]
+    many = docs_of(spark, rows).repartition(3)
+    k = quality.quality_scores(many, labels, temperature=0.0).where("kept").count()
+    kept = Counter(r["doc_id"] for r in quality.quality_scores(many, labels, temperature=20.0).where("kept").collect())
+    assert k <= sum(kept.values()) < k + 7
+    assert all(n == (7 if i % 6 else 1) for i, n in kept.items())
+
+
 def test_best_cut():
     assert quality.best_cut(np.array([1.0, 2, 3, 4]), np.array([False, False, True, True])) == 2.5
     assert quality.best_cut(np.array([1.0, 2]), np.array([True, True])) == float("-inf")
