@@ -61,9 +61,10 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, all columns as they are; rows with null ids by the same rule."""
-    plan = mix_sources(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")).distinct()
-    keyed = docs.join(plan, docs[options.get("doc_id", "doc_id")].eqNullSafe(F.col("_id")))
+    """The rows of `docs` as often as the mix takes them in their source, all columns as they are; rows with null ids by the same rule."""
+    plan = mix_sources(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("copies").alias("_copies")).distinct()
+    same = docs[options.get("doc_id", "doc_id")].eqNullSafe(F.col("_id")) & docs[options.get("source", "source")].eqNullSafe(F.col("_source"))
+    keyed = docs.join(plan, same)
     return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*[docs[c] for c in docs.columns])
 
 

@@ -133,6 +133,18 @@ def test_mixing(spark):
     assert mixing.mix_sources(docs_of(spark, [(None, None, None), (1, "", "a")])).agg({"taken": "sum"}).first()[0] == 0
 
 
+def test_mixed_documents_by_source(spark):
+    """Rows that share an id, or have none, are taken as often as their own source says."""
+    rows = [(None, f"a b c {k}", s) for k, s in enumerate("xyz")] + [(7, "one two", "x"), (7, "three", "y"), (7, "four five six", None)]
+    rows += [(100 + i, "w " * (5 + i), "xyz"[i % 3]) for i in range(30)]
+    df = docs_of(spark, rows)
+    want = Counter()
+    for r in mixing.mix_sources(df).collect():
+        want[r["doc_id"], r["source"]] += r["copies"]
+    assert len({want[None, s] for s in "xyz"}) > 1
+    assert Counter((r["doc_id"], r["source"]) for r in mixing.mixed_documents(df).collect()) == +want
+
+
 def brute_sets(rows, n=5):
     out = {}
     for i, t, _ in rows:
