@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,9 +17,11 @@ FLUSH_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only where the session names none and is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="portico-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -29,7 +32,17 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of stored tables that nothing will read any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -175,6 +188,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = large.unionByName(low.where("low <> src").select("src", F.col("low").alias("dst"))).distinct()
         least = large.groupBy("src").agg(F.min("dst").alias("low"))
         small = large.join(least, "src").where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-        now = stored(small.unionByName(least.select("src", F.col("low").alias("dst"))).where("src <> dst").distinct())
+        last, now = now, stored(small.unionByName(least.select("src", F.col("low").alias("dst"))).where("src <> dst").distinct())
+        discard(last)
     roots = now.select(F.col("dst").alias("vertex")).distinct().withColumn("component", F.col("vertex"))
     return now.select(F.col("src").alias("vertex"), F.col("dst").alias("component")).unionByName(roots)

@@ -1,8 +1,9 @@
 """Exact Jaccard self-join of documents on word shingles, with set-relation skipping.
 
 Prefix filtering on an order that puts frequent shingles last gives an index of short lists. Sets that turn out
-highly similar to a list's leading set take over its answers: only lists that still hold sets of different
-components are looked at pair by pair, and there whole blocks are skipped by position.
+highly similar to a list's leading set take over its answers. In lists that still hold different components, each
+component asks for its nearest outside set only, and answers for all its sets at once; whole blocks of a list are skipped
+by position. What is left after a few such rounds is answered pair by pair.
 """
 
 from __future__ import annotations
@@ -11,31 +12,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, discard, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
 PERCENT = 75
 #: Frequent shingles go last in the order, by tier of estimated frequency. Each tier is told to all tasks as a Bloom
 #: filter of so many slots (4 MB), whatever the input; a false alarm only moves a shingle in the order, the same for all.
-TIERS, TIER_SLOTS = (16, 128, 1024, 8192), 1 << 25
+TIERS, TIER_SLOTS = (32, 256, 2048, 16384), 1 << 25
+#: Frequencies are estimated from one in so many occurrences, chosen by hash of shingle and set: the same whatever the tasks.
+SAMPLED = 16
 #: Leaders of each list that its other sets are compared with in one round.
 LEADERS = 4
 ROUNDS = 2
-#: A shingle is a candidate for that list if a task met it in so many of its own documents.
-LOCAL_FREQUENT = 2
+#: Rounds in which each component asks for its nearest outside set, before the rest is answered pair by pair.
+NEAREST = 6
+#: Slots of the filter of pairs that were answered no: 1 MB. A false alarm only leaves a pair to the last round.
+ANSWERED_SLOTS = 1 << 23
 #: Entries of a list that one task compares with so many others.
 LIST_BLOCK = 4096
 #: Entries of a block of an index list that are skipped at once.
 SKIP = 64
-#: Lists of so many entries are bounded pair by pair with signatures of so many bits; shorter ones have few pairs an entry.
+#: Lists of so many entries bring signatures of so many bits; shorter ones have few pairs an entry.
 SIGNED, SIGN_BITS = 8, 2048
 #: Pairs that are bounded at once.
 SIGN_PAIRS = 1 << 15
-ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"]}
+ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"], 2: ["<i8", f"V{SIGN_BITS // 8}"]}
 
 
 def needed(a, b, percent: int):
@@ -62,12 +67,12 @@ def signature(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def near_signatures(signs: np.ndarray, p: np.ndarray, q: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Whether the signatures of rows p and q differ in at most `most` bits."""
-    out = np.zeros(len(p), bool)
+def differing(signs: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """In how many bits the signatures of rows p and q differ."""
+    out = np.zeros(len(p), np.int64)
     for k in range(0, len(p), SIGN_PAIRS):
         s = slice(k, k + SIGN_PAIRS)
-        out[s] = np.bitwise_count(signs[p[s]] ^ signs[q[s]]).sum(axis=1, dtype=np.int64) <= most[s]
+        out[s] = np.bitwise_count(signs[p[s]] ^ signs[q[s]]).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -78,24 +83,22 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]
             yield first + k, s
 
 
-def _frequent(words: int):
+def _sampled(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+        held, size = [], 0
 
         def counted():
             u, c = np.unique(np.concatenate(held), return_counts=True)
-            many = c >= LOCAL_FREQUENT
-            return pa.record_batch([pa.array(u[many].view(np.int64)), pa.array(c[many].astype(np.int64))], names=["shingle", "n"])
+            return pa.record_batch([pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], names=["shingle", "n"])
 
         for batch in batches:
             for _, s in _sets(batch, words):
-                if len(s) and (name := set_hash(s)) not in seen:
-                    seen.add(name)
-                    held.append(s)
-                    size += s.nbytes
-                    if size > 2 * FLUSH_BYTES:
+                if len(s):
+                    held.append(s[mix(s ^ np.int64(set_hash(s)).view(np.uint64)) % np.uint64(SAMPLED) == 0])
+                    size += held[-1].nbytes + 100
+                    if size > FLUSH_BYTES:
                         yield counted()
-                        held, size, seen = [], 0, set()
+                        held, size = [], 0
         if held:
             yield counted()
 
@@ -103,16 +106,23 @@ def _frequent(words: int):
 
 
 def frequent_shingles(docs: DataFrame, words: int = WORDS) -> list[np.ndarray]:
-    """The tiers' filters. They only shape the order: an estimate will do."""
-    found = stored(docs.select("text").mapInArrow(_frequent(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= TIERS[0]))
+    """The tiers' filters. They only shape the order: an estimate will do, but it is the same however the rows are dealt."""
+    found = stored(docs.select("text").mapInArrow(_sampled(words), "shingle long, n long").groupBy("shingle").agg((F.sum("n") * SAMPLED).alias("n")).where(F.col("n") >= TIERS[0]))
     slot = F.col("shingle").bitwiseAND(F.lit(TIER_SLOTS - 1))
-    return [slot_filter(found.where(F.col("n") >= least), slot, TIER_SLOTS) for least in TIERS]
+    filters = [slot_filter(found.where(F.col("n") >= least), slot, TIER_SLOTS) for least in TIERS]
+    discard(found)
+    return filters
+
+
+def low_bits(keys: np.ndarray, slots: int) -> np.ndarray:
+    """Where `slot_filter` keeps the bit of the low bits of these keys."""
+    slot = (keys & keys.dtype.type(slots - 1)).astype(np.int64)
+    return np.where(slot > 0, slot - 1, np.int64(slots))
 
 
 def tiers_of(filters: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
     """The highest tier that a shingle seems to belong to, 0 for none."""
-    slot = (shingles & np.uint64(TIER_SLOTS - 1)).astype(np.int64)
-    at = np.where(slot > 0, slot - 1, np.int64(TIER_SLOTS))
+    at = low_bits(shingles, TIER_SLOTS)
     out = np.zeros(len(shingles), np.int8)
     for k, bits in enumerate(filters):
         out[in_filter(bits, at)] = k + 1
@@ -123,6 +133,7 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members: list[tuple[int, int, int]] = []
         held: list[tuple[np.ndarray, int, int]] = []
+        signs: list[tuple[int, np.ndarray]] = []
         seen: set[int] = set()
         size = 0
 
@@ -139,6 +150,9 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                 hot = tiers_of(frequent.value, key) > 0
                 deal = np.where(hot, mix(key ^ name.astype(np.int64).view(np.uint64)), mix(key))  # frequent ones lie anywhere
                 out += bucketed_blobs(1, deal, [key, name.astype("<i8"), n.astype("<i4"), at.astype("<i4")], buckets)
+            if signs:
+                name = np.array([s[0] for s in signs])
+                out += bucketed_blobs(2, mix(name.astype(np.int64).view(np.uint64)), [name.astype("<i8"), np.stack([s[1] for s in signs]).view(ENTRY[2][1]).ravel()], buckets)
             return blob_batch(out)
 
         for batch in batches:
@@ -153,29 +167,37 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                     tier = tiers_of(frequent.value, s)
                     if tier.any():
                         s = s[np.argsort(tier, kind="stable")]
+                    signs.append((name, signature(s)))
                     held.append((s[:p].copy(), name, len(s)))
-                    size += 24 * p
+                    size += 24 * p + SIGN_BITS // 8
                 if size > FLUSH_BYTES:
                     yield packed()
-                    members, held, size, seen = [], [], 0, set()
+                    members, held, signs, size, seen = [], [], [], 0, set()
         if members:
             yield packed()
 
     return run
 
 
-INDEX_SCHEMA = "kind int, doc_id long, name long, n int, shingle long, pos int"
+INDEX_SCHEMA = "kind int, doc_id long, name long, n int, shingle long, pos int, sign binary"
 
 
 def _index_rows(frequent):
+    def rows(kind: int, doc, name, n, shingle, pos, sign=None) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(name), 1 << 16):
+            s = slice(k, k + (1 << 16))
+            m = len(name[s])
+            of = lambda x, t: pa.nulls(m, t) if x is None else pa.array(x[s], t)
+            binary = pa.nulls(m, pa.binary()) if sign is None else pa.array([x.tobytes() for x in sign[s]], pa.binary())
+            yield pa.record_batch([pa.array(np.full(m, kind, np.int32)), of(doc, pa.int64()), of(name, pa.int64()), of(n, pa.int32()), of(shingle, pa.int64()), of(pos, pa.int32()), binary], names=["kind", "doc_id", "name", "n", "shingle", "pos", "sign"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = gather_blobs(batches, ENTRY)
         doc, name, n = found[0]
-        for k in range(0, len(doc), 1 << 16):
-            s = slice(k, k + (1 << 16))
-            m = len(doc[s])
-            none = np.zeros(m, np.int64)
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(doc[s]), pa.array(name[s]), pa.array(n[s]), pa.array(none), pa.array(none.astype(np.int32))], names=["kind", "doc_id", "name", "n", "shingle", "pos"])
+        yield from rows(0, doc, name, n, None, None)
+        name, sign = found[2]
+        _, own = np.unique(name, return_index=True)
+        yield from rows(2, None, name[own], None, None, None, sign[own])
         key, name, n, pos = found[1]
         if not len(key):
             return
@@ -189,11 +211,7 @@ def _index_rows(frequent):
         keep[1:] |= same
         keep[:-1] |= same
         keep |= tiers_of(frequent.value, key) > 0
-        key, name, n, pos = key[keep].view(np.int64), name[keep], n[keep], pos[keep]
-        for k in range(0, len(key), 1 << 16):
-            s = slice(k, k + (1 << 16))
-            m = len(key[s])
-            yield pa.record_batch([pa.array(np.ones(m, np.int32)), pa.array(np.zeros(m, np.int64)), pa.array(name[s]), pa.array(n[s]), pa.array(key[s]), pa.array(pos[s])], names=["kind", "doc_id", "name", "n", "shingle", "pos"])
+        yield from rows(1, None, name[keep], n[keep], key[keep].view(np.int64), pos[keep])
 
     return run
 
@@ -205,21 +223,45 @@ def _enough(percent: int):
     return F.expr(f"least(na, nb) * 100 >= {percent} * greatest(na, nb) and shared + greatest({rest('na')}, {rest('nb')}) >= {need}")
 
 
-def _list_pairs(percent: int):
-    """Pairs of sets of different components that share a list, with the number of lists of this task they share."""
+def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(mix(a.astype(np.int64).view(np.uint64)) + b.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+class Nearest:
+    """For each component the nearest pair that leads out of it, of all pairs told so far."""
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, comp_a, comp_b, apart, a, b) -> None:
+        self.held.append((np.concatenate([comp_a, comp_b]), np.tile(apart, 2), np.tile(a, 2), np.tile(b, 2)))
+        self.size += 64 * len(a)
+        if self.size > FLUSH_BYTES:
+            best = self.best()
+            self.held, self.size = [best], min(32 * len(best[0]), FLUSH_BYTES // 2)
+
+    def best(self) -> tuple[np.ndarray, ...]:
+        comp, apart, a, b = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        order = np.lexsort((b, a, apart, comp))
+        order = order[np.r_[True, comp[order][1:] != comp[order][:-1]]]
+        return comp[order], apart[order], a[order], b[order]
 
-    def flushed(held):
-        a, b, na, nb = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
-        cut = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        return pa.record_batch([pa.array(a[cut]), pa.array(b[cut]), pa.array(na[cut]), pa.array(nb[cut]), pa.array(np.diff(np.r_[cut, len(a)]).astype(np.int64))], names=["a", "b", "na", "nb", "shared"])
+
+def _list_pairs(percent: int, refused=None):
+    """Pairs of sets of different components that share a list and that no bound rules out.
+
+    Of the pairs' shared shingles the first in the order brings them together, so places far from the begin are enough to
+    rule a pair out in a list. With `refused` (a filter of pairs answered no) lists with signatures give for each component of
+    this task its nearest pair alone that the filter does not know; without it, all pairs.
+    """
 
     def lists(batches):
         parts = [[batch[c].to_numpy(zero_copy_only=False) for c in ("shingle", "left", "right", "own", "name", "n", "pos", "component")] + [batch["sign"].to_numpy(zero_copy_only=False)] for batch in batches if batch.num_rows]
         if not parts:
             return
         key, left, right, own, name, n, pos, comp, sign = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
         order = np.lexsort((pos, right, left, key))
         key, left, right, own, name, n, pos, comp, sign = (x[order] for x in (key, left, right, own, name, n, pos, comp, sign))
         new = (key[1:] != key[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
@@ -229,8 +271,15 @@ def _list_pairs(percent: int):
                 signs = None if sign[i] is None else np.frombuffer(b"".join(sign[i:j]), np.uint64).reshape(j - i, -1)
                 yield left[i], right[i], own[i:j], name[i:j], n[i:j].astype(np.int64), pos[i:j].astype(np.int64), comp[i:j], signs
 
+    def flushed(held):
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        cut = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        return pa.record_batch([pa.array(a[cut]), pa.array(b[cut])], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, nearest = [], 0, Nearest()
         for left, right, own, name, n, pos, comp, signs in lists(batches):
             longest = int(n.max())
             for i in range(0, len(name), SKIP):
@@ -239,48 +288,72 @@ def _list_pairs(percent: int):
                 reach = int(np.searchsorted(pos, pos[x][-1] + longest * (100 - percent) // 100 + 1, side="right"))
                 y = slice(i, reach)
                 na, nb = n[x][:, None], n[y][None, :]
-                pa_, pb = pos[x][:, None], pos[y][None, :]
                 ok = comp[x][:, None] != comp[y][None, :]
-                ok &= (100 * na >= percent * nb) & (100 * nb >= percent * na)
-                ok &= np.minimum(pa_, pb) + np.minimum(na - pa_, nb - pb) >= needed(na, nb, percent)
+                ok &= np.minimum(na - pos[x][:, None], nb - pos[y][None, :]) >= needed(na, nb, percent)
                 ok &= np.arange(reach - i)[None, :] > np.arange(len(n[x]))[:, None]
                 if left != right:
                     ok &= own[x][:, None] != own[y][None, :]
                 p, q = np.nonzero(ok)
+                p, q = p + i, q + i
                 if signs is not None and len(p):
-                    near = near_signatures(signs, p + i, q + i, n[x][p] + n[y][q] - 2 * needed(n[x][p], n[y][q], percent))
-                    p, q = p[near], q[near]
-                if len(p):
-                    a, b = name[x][p], name[y][q]
-                    swap = a > b
-                    na, nb = n[x][p], n[y][q]
-                    held.append((np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)))
-                    size += 32 * len(p)
-                    if size > FLUSH_BYTES:
-                        yield flushed(held)
-                        held, size = [], 0
+                    apart = differing(signs, p, q)
+                    near = apart <= n[p] + n[q] - 2 * needed(n[p], n[q], percent)
+                    p, q, apart = p[near], q[near], apart[near]
+                if not len(p):
+                    continue
+                a, b = np.minimum(name[p], name[q]), np.maximum(name[p], name[q])
+                if signs is not None and refused is not None:
+                    new = ~in_filter(refused.value, low_bits(pair_key(a, b), ANSWERED_SLOTS))
+                    if new.any():
+                        nearest.add(comp[p][new], comp[q][new], apart[new], a[new], b[new])
+                else:
+                    held.append((a, b))
+                    size += 16 * len(p)
+                if size > FLUSH_BYTES:
+                    yield flushed(held)
+                    held, size = [], 0
+        if nearest.held:
+            held.append(nearest.best()[2:])
         if held:
             yield flushed(held)
 
     return run
 
 
-def _doc_sets(bits, words: int, form):
+def _doc_sets(bits, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.filter(pa.array(in_filter(bits.value, batch["slot"].to_numpy(zero_copy_only=False).astype(np.int64))))
+            rows = batch if bits is None else batch.filter(pa.array(in_filter(bits.value, batch["slot"].to_numpy(zero_copy_only=False).astype(np.int64))))
             ids = rows["doc_id"].to_pylist()
-            out = [(ids[k], set_hash(s), form(s).tobytes()) for k, s in _sets(rows, words)]
+            out = [(ids[k], set_hash(s), s.tobytes()) for k, s in _sets(rows, words)]
             if out:
-                yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["doc_id", "name", "form"])
+                yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())], names=["doc_id", "name", "shingles"])
+
+    return run
+
+
+def _near(percent: int):
+    """The pairs whose signatures let them link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sign = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("sign_a", "sign_b")]
+                na, nb = (batch[c].to_numpy().astype(np.int64) for c in ("na", "nb"))
+                good = np.bitwise_count(sign[0] ^ sign[1]).sum(axis=1, dtype=np.int64) <= na + nb - 2 * needed(na, nb, percent)
+                yield batch.filter(pa.array(good)).select(["a", "b"])
 
     return run
 
 
 def _verify(percent: int):
+    """Each pair's answer from the whole sets, with the low bits of the pair's key."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            if not batch.num_rows:
+                continue
+            good = np.zeros(batch.num_rows, bool)
             last, x = None, None
             for k, (a, left, right) in enumerate(zip(batch["a"].to_pylist(), batch["set_a"], batch["set_b"], strict=True)):
                 if a != last:
@@ -289,13 +362,17 @@ def _verify(percent: int):
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
-                    good.append(k)
-            yield batch.take(pa.array(good, pa.int64())).select(["a", "b"])
+                good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
+            key = pair_key(batch["a"].to_numpy(), batch["b"].to_numpy()) & np.uint64(ANSWERED_SLOTS - 1)
+            yield pa.record_batch([batch["a"], batch["b"], pa.array(key.astype(np.int64)), pa.array(good)], names=["a", "b", "slot", "linked"])
 
     return run
 
 
+#: Ids that are told to all tasks as they are (1 MB); more go as a filter.
+TOLD_IDS = 1 << 17
+
+
 class JaccardJoin:
     """The stages of the join over `docs` (doc_id, text); `links` grow as more of the candidates are answered."""
 
@@ -305,34 +382,57 @@ class JaccardJoin:
         frequent = self.spark.sparkContext.broadcast(frequent_shingles(docs, words))
         blobs = docs.select("doc_id", "text").mapInArrow(_index_blobs(frequent, words, percent, buckets), BLOB_SCHEMA)
         rows = stored(blobs.repartition(parallelism(self.spark), "bucket").mapInArrow(_index_rows(frequent), INDEX_SCHEMA))
+        frequent.unpersist()
         self.members = rows.where("kind = 0").select("doc_id", "name", "n")
         self.entries = rows.where("kind = 1").select("shingle", "name", "n", "pos")
+        self.signs = rows.where("kind = 2").select("name", "sign")
         self.holders = self.members.groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-        self.links = None
+        self.refused: list[DataFrame] = []
+        self.links = self.components = None
 
-    def forms(self, names: DataFrame, form) -> DataFrame:
-        """(name, form) of the named sets, read again from one text of each; a row that repeats an id counts by its own set."""
+    def sets(self, names: DataFrame) -> DataFrame:
+        """(name, shingles) of the named sets, read again from one text of each; a row that repeats an id counts by its own set."""
         wanted = stored(names.distinct().join(self.holders, "name"))
-        bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
-        found = with_slot(self.docs.select("doc_id", "text"), "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words, form), "doc_id long, name long, form binary")
-        return stored(found.join(wanted, ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "form"))
-
-    def answered(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b) of set names those that link, from the whole sets."""
-        pairs = stored(pairs.select("a", "b"))
-        sets = self.forms(pairs.select(F.col("a").alias("name")).union(pairs.select("b")), np.asarray).withColumnRenamed("form", "shingles")
-        both = pairs.join(sets.select(F.col("name").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.select(F.col("name").alias("b"), F.col("shingles").alias("set_b")), "b")
-        return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long")
+        texts = self.docs.select("doc_id", "text")
+        if wanted.count() <= TOLD_IDS:
+            found = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(_doc_sets(None, self.words), SETS_SCHEMA)
+        else:
+            bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
+            found = with_slot(texts, "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words), SETS_SCHEMA)
+        out = stored(found.join(wanted, ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "shingles"))
+        discard(wanted)
+        return out
+
+    def of_pairs(self, pairs: DataFrame, column: DataFrame, kind: str) -> DataFrame:
+        """The pairs with what `column` (name, kind) holds of a and b."""
+        for s in "ab":
+            pairs = pairs.join(column.select(F.col("name").alias(s), F.col(kind).alias(f"{kind}_{s}")), s)
+        return pairs
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b, na, nb) those that their signatures do not rule out."""
+        return self.of_pairs(pairs, self.signs, "sign").select("a", "b", "na", "nb", "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long")
+
+    def learn(self, pairs: DataFrame) -> int:
+        """Answers the pairs (a, b) of set names from the whole sets; the number of pairs."""
+        pairs = stored(pairs.select("a", "b").distinct())
+        count = pairs.count()
+        if count:
+            sets = self.sets(pairs.select(F.col("a").alias("name")).union(pairs.select("b")))
+            both = self.of_pairs(pairs, sets.withColumnRenamed("shingles", "set"), "set")
+            told = stored(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"))
+            discard(sets)
+            self.refused.append(told.where("not linked").select("a", "b", "slot"))
+            links = told.where("linked").select("a", "b")
+            self.links = links if self.links is None else self.links.unionByName(links)
+            self.components = components(self.links, "a", "b").withColumnRenamed("vertex", "name")
+        discard(pairs)
+        return count
 
     def with_components(self) -> DataFrame:
-        if self.links is None:
+        if self.components is None:
             return self.entries.withColumn("component", F.col("name"))
-        comp = components(self.links, "a", "b").withColumnRenamed("vertex", "name")
-        return self.entries.join(comp, "name", "left").withColumn("component", F.coalesce("component", "name"))
-
-    def learn(self, pairs: DataFrame) -> None:
-        links = self.answered(pairs)
-        self.links = stored(links if self.links is None else self.links.unionByName(links))
+        return self.entries.join(self.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
 
     def leaders(self, turn: int) -> None:
         """Each list's sets are compared with a few leaders of other components, the same ones in lists of the same sets.
@@ -348,24 +448,71 @@ class JaccardJoin:
         pairs = met.select(side("name", "lead.name").alias("a"), side("lead.name", "name").alias("b"), side("n", "lead.n").alias("na"), side("lead.n", "n").alias("nb"), side("name", "lead.name").eqNullSafe(F.col("name")).alias("way"))
         # a list in which both lead has the pair twice: each way is counted alone
         one = pairs.groupBy("a", "b", "way").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
-        self.learn(one.where(_enough(self.percent)).select("a", "b").distinct())
-
-    def lists(self) -> None:
-        """All pairs of different components in lists that still hold more than one; long lists as pairs of blocks.
+        self.learn(self.near(one.where(_enough(self.percent)).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))))
 
-        Sets in lists of SIGNED entries or more bring their signatures, so that a pair that cannot link ends in the list.
-        """
+    def open_lists(self) -> DataFrame:
+        """The entries of lists that hold more than one component, with the list's number of blocks and whether it is long."""
         e = stored(self.with_components())
         size = e.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"), (F.count("*") >= SIGNED).alias("long")).where("low <> high").select("shingle", "blocks", "long")
-        e = stored(e.join(size, "shingle"))
-        signs = self.forms(e.where("long").select("name"), signature).withColumnRenamed("form", "sign")
-        plain = e.where("not long").withColumn("sign", F.lit(None).cast("binary"))
-        e = plain.unionByName(e.where("long").join(signs, "name"))
+        out = stored(e.join(size, "shingle"))
+        discard(e)
+        return out
+
+    def pairs_in(self, e: DataFrame, refused=None) -> DataFrame:
+        """Pairs from the lists of `e`, which hold sign (null: no signatures); long lists are looked at as pairs of blocks."""
         e = e.withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         e = e.select("shingle", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "name", "n", "pos", "component", "sign")
-        pairs = e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent), "a long, b long, na long, nb long, shared long")
-        self.learn(pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared")).where(_enough(self.percent)))
+        return e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent, refused), "a long, b long")
+
+    def short_lists(self) -> None:
+        """All pairs of different components in short lists, which have fewer than SIGNED / 2 pairs an entry."""
+        e = self.open_lists()
+        pairs = self.pairs_in(e.where("not long").withColumn("sign", F.lit(None).cast("binary")))
+        sizes = self.members.groupBy("name").agg(F.first("n").alias("n"))
+        self.learn(self.near(self.of_pairs(pairs.distinct(), sizes, "n").withColumnsRenamed({"n_a": "na", "n_b": "nb"})))
+        discard(e)
+
+    def long_lists(self, nearest: bool) -> int:
+        """Nearest pairs out of each component in long lists, or all pairs that no bound rules out; the number of pairs."""
+        e = self.open_lists()
+        signed = e.where("long").join(self.signs, "name")
+        told = None
+        if nearest:
+            known = self.refused[0] if self.refused else self.spark.range(0).select(F.col("id").alias("slot"))
+            for more in self.refused[1:]:
+                known = known.unionByName(more)
+            told = self.spark.sparkContext.broadcast(slot_filter(known, F.col("slot"), ANSWERED_SLOTS))
+        pairs = self.pairs_in(signed, told).distinct()
+        for known in [] if nearest else self.refused:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        found = self.learn(pairs)
+        discard(e)
+        return found
+
+
+SETS_SCHEMA = "doc_id long, name long, shingles binary"
+
+
+def jaccard_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, name, n, component_id) for each row of `docs` (doc_id, text) with an id; `name` stands for the row's set."""
+    join = JaccardJoin(docs.where("doc_id is not null"), words, percent)
+    for turn in range(ROUNDS):
+        join.leaders(turn)
+    join.short_lists()
+    for _ in range(NEAREST):
+        if not join.long_lists(True):
+            break
+    join.long_lists(False)
+    empty = join.members.where("name = 0").withColumn("component_id", F.col("doc_id"))
+    real = join.members.where("name <> 0")
+    if join.components is None:
+        first = join.holders
+        return real.join(first.withColumnRenamed("doc_id", "component_id"), "name").select("doc_id", "name", "n", "component_id").unionByName(empty)
+    sets = join.holders.join(join.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    first = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = sets.join(first, "component").select("name", "component_id")
+    return real.join(named, "name").select("doc_id", "name", "n", "component_id").unionByName(empty)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -376,19 +523,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     at least `percent` / 100. component_id is the smallest id reachable by links, its own included.
 
     Equal sets are one set. Two rounds answer the pairs of each list with its leaders; sets linked by then
-    share their answers, and only pairs of different components are left for the last round, which misses none.
-    Pairs are answered by the whole sets. Null ids: size only, component null, and they link nothing. Rows that
-    repeat an id are repeated in the result. Empty table: no rows.
+    share their answers. Short lists are then answered pair by pair. In long ones each component asks, for a few
+    rounds, for its nearest outside set by signature (Boruvka's way to join components), as any other pair of two
+    components is answered with the first one that links. The last round answers all pairs of
+    different components that are left, so none is missed. Pairs are answered by the whole sets. Null ids: size only, component
+    null, and they link nothing. Rows that repeat an id are repeated in the result. Empty table: no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    join = JaccardJoin(rows.where("doc_id is not null"), words, percent)
-    for turn in range(ROUNDS):
-        join.leaders(turn)
-    join.lists()
-    comp = components(join.links, "a", "b").withColumnRenamed("vertex", "name")
-    sets = join.holders.where("name <> 0").join(comp, "name", "left").withColumn("component", F.coalesce("component", "name"))
-    sets = sets.withColumn("component_id", F.min("doc_id").over(Window.partitionBy("component")))
-    judged = join.members.join(sets.select("name", "component_id"), "name", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    judged = jaccard_members(rows, words, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     lost = rows.where("doc_id is null").mapInArrow(_sizes(words), "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
     return judged.unionByName(lost)
 
