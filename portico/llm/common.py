@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of packed records that a task holds before it hands them on.
@@ -37,6 +37,13 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def counted(df: DataFrame, what: Column | None = None) -> tuple[DataFrame, int]:
+    """`df` stored, and the number of its rows (or another sum over them), counted while it is written."""
+    seen = Observation()
+    out = stored(df.observe(seen, (F.count(F.lit(1)) if what is None else what).alias("n")))
+    return out, int(seen.get.get("n") or 0)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes the files of stored tables that nothing will read any more."""
     for df in tables:
@@ -139,16 +146,34 @@ def in_filter(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
 # -- connected components -----------------------------------------------------------------------
 
 
+#: Edges that a task holds at a time, and that one task may join alone.
+FOREST_EDGES = 1 << 20
+
+
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's edges as stars around each local component's smallest vertex."""
-    for batch in batches:
-        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(a):
-            continue
+    """A partition's edges as stars around each local component's smallest vertex; at most FOREST_EDGES meet at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def stars():
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
         names, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
         label = local_components(len(names), flat[: len(a)], flat[len(a) :])
         rest = np.flatnonzero(label != np.arange(len(names)))
-        yield pa.record_batch([pa.array(names[rest], pa.int64()), pa.array(names[label[rest]], pa.int64())], names=["src", "dst"])
+        return names[rest], names[label[rest]]
+
+    def told(src, dst):
+        for k in range(0, len(src), 1 << 16):
+            yield pa.record_batch([pa.array(src[k : k + (1 << 16)], pa.int64()), pa.array(dst[k : k + (1 << 16)], pa.int64())], names=["src", "dst"])
+
+    for batch in batches:
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        if sum(len(h[0]) for h in held) > FOREST_EDGES:
+            held = [stars()]
+            if len(held[0][0]) > FOREST_EDGES // 2:
+                yield from told(*held[0])
+                held = []
+    if held:
+        yield from told(*stars())
 
 
 def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -168,20 +193,22 @@ def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, count: int | None = None) -> DataFrame:
     """(vertex, component) for each vertex that has an edge: the smallest vertex that it reaches.
 
-    Large-star and small-star rounds until nothing moves; each round is written to the shared folder. Vertices
-    are longs; null ends and loops are left out. No vertices: an empty table.
+    Large-star and small-star rounds until only stars are left; each round is written to the shared folder. Vertices
+    are longs; null ends and loops are left out. No vertices: an empty table. Where the caller knows that there are
+    FOREST_EDGES edges or less (`count`), one task joins them at once.
     """
     pairs = edges.select(F.col(a).cast("long").alias("src"), F.col(b).cast("long").alias("dst")).where("src <> dst")
+    if count is not None and count <= FOREST_EDGES:
+        pairs = pairs.coalesce(1)
     now = stored(pairs.mapInArrow(_local_forest, "src long, dst long"))
-    before = None
     while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
+        # stars of their own: nothing that points anywhere is pointed at, or points twice
+        ends = now.select(F.col("src").alias("v"), F.lit(1).alias("out"), F.lit(0).alias("in")).unionByName(now.select(F.col("dst").alias("v"), F.lit(0).alias("out"), F.lit(1).alias("in")))
+        if ends.groupBy("v").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 or (out = 1 and in = 1)").isEmpty():
             break
-        before = state
         both = now.unionByName(now.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
         large = both.join(low, "src").where("dst > src and dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, discard, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, counted, discard, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
@@ -25,11 +25,11 @@ PERCENT = 75
 TIERS, TIER_SLOTS = (32, 256, 2048, 16384), 1 << 25
 #: Frequencies are estimated from one in so many occurrences, chosen by hash of shingle and set: the same whatever the tasks.
 SAMPLED = 16
-#: Leaders of each list that its other sets are compared with in one round.
+#: Leaders of each list that its other sets are compared with first.
 LEADERS = 4
-ROUNDS = 2
-#: Rounds in which each component asks for its nearest outside set, before the rest is answered pair by pair.
-NEAREST = 6
+#: Rounds at most in which each component asks for its nearest outside set; they end once fewer than one in WORTH of
+#: the pairs link. The rest is answered pair by pair.
+NEAREST, WORTH = 6, 4
 #: Slots of the filter of pairs that were answered no: 1 MB. A false alarm only leaves a pair to the last round.
 ANSWERED_SLOTS = 1 << 23
 #: Entries of a list that one task compares with so many others.
@@ -234,18 +234,18 @@ class Nearest:
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, comp_a, comp_b, apart, a, b) -> None:
-        self.held.append((np.concatenate([comp_a, comp_b]), np.tile(apart, 2), np.tile(a, 2), np.tile(b, 2)))
-        self.size += 64 * len(a)
+    def add(self, comp_a, comp_b, apart, *pair) -> None:
+        self.held.append((np.concatenate([comp_a, comp_b]), *(np.tile(x, 2) for x in (apart, *pair))))
+        self.size += 96 * len(apart)
         if self.size > FLUSH_BYTES:
             best = self.best()
-            self.held, self.size = [best], min(32 * len(best[0]), FLUSH_BYTES // 2)
+            self.held, self.size = [best], min(48 * len(best[0]), FLUSH_BYTES // 2)
 
     def best(self) -> tuple[np.ndarray, ...]:
-        comp, apart, a, b = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        comp, apart, a, b, na, nb = (np.concatenate(x) for x in zip(*self.held, strict=True))
         order = np.lexsort((b, a, apart, comp))
         order = order[np.r_[True, comp[order][1:] != comp[order][:-1]]]
-        return comp[order], apart[order], a[order], b[order]
+        return tuple(x[order] for x in (comp, apart, a, b, na, nb))
 
 
 def _list_pairs(percent: int, refused=None):
@@ -272,11 +272,11 @@ def _list_pairs(percent: int, refused=None):
                 yield left[i], right[i], own[i:j], name[i:j], n[i:j].astype(np.int64), pos[i:j].astype(np.int64), comp[i:j], signs
 
     def flushed(held):
-        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        a, b, na, nb = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((b, a))
-        a, b = a[order], b[order]
+        a, b, na, nb = a[order], b[order], na[order], nb[order]
         cut = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        return pa.record_batch([pa.array(a[cut]), pa.array(b[cut])], names=["a", "b"])
+        return pa.record_batch([pa.array(x[cut]) for x in (a, b, na, nb)], names=["a", "b", "na", "nb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, nearest = [], 0, Nearest()
@@ -301,14 +301,16 @@ def _list_pairs(percent: int, refused=None):
                     p, q, apart = p[near], q[near], apart[near]
                 if not len(p):
                     continue
-                a, b = np.minimum(name[p], name[q]), np.maximum(name[p], name[q])
+                swap = name[p] > name[q]
+                p, q = np.where(swap, q, p), np.where(swap, p, q)
+                pair = (name[p], name[q], n[p], n[q])
                 if signs is not None and refused is not None:
-                    new = ~in_filter(refused.value, low_bits(pair_key(a, b), ANSWERED_SLOTS))
+                    new = ~in_filter(refused.value, low_bits(pair_key(*pair[:2]), ANSWERED_SLOTS))
                     if new.any():
-                        nearest.add(comp[p][new], comp[q][new], apart[new], a[new], b[new])
+                        nearest.add(comp[p][new], comp[q][new], apart[new], *(x[new] for x in pair))
                 else:
-                    held.append((a, b))
-                    size += 16 * len(p)
+                    held.append(pair)
+                    size += 32 * len(p)
                 if size > FLUSH_BYTES:
                     yield flushed(held)
                     held, size = [], 0
@@ -369,8 +371,12 @@ def _verify(percent: int):
     return run
 
 
-#: Ids that are told to all tasks as they are (1 MB); more go as a filter.
-TOLD_IDS = 1 << 17
+#: Pairs, and so sets, that are told to all tasks as they are (with a signature 18 MB at most); more of them are shuffled.
+FEW = 1 << 16
+
+
+def told_all(rows: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(rows) if few else rows
 
 
 class JaccardJoin:
@@ -386,76 +392,94 @@ class JaccardJoin:
         self.members = rows.where("kind = 0").select("doc_id", "name", "n")
         self.entries = rows.where("kind = 1").select("shingle", "name", "n", "pos")
         self.signs = rows.where("kind = 2").select("name", "sign")
-        self.holders = self.members.groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+        self.holders = stored(self.members.groupBy("name").agg(F.min("doc_id").alias("doc_id")))
+        self.n_links = 0
         self.refused: list[DataFrame] = []
-        self.links = self.components = None
+        self.links = self.components = self.open = None
 
-    def sets(self, names: DataFrame) -> DataFrame:
+    def sets(self, names: DataFrame, few: bool) -> DataFrame:
         """(name, shingles) of the named sets, read again from one text of each; a row that repeats an id counts by its own set."""
-        wanted = stored(names.distinct().join(self.holders, "name"))
+        wanted = stored(told_all(names.distinct(), few).join(self.holders, "name"))
         texts = self.docs.select("doc_id", "text")
-        if wanted.count() <= TOLD_IDS:
+        if few:
             found = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(_doc_sets(None, self.words), SETS_SCHEMA)
         else:
             bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
             found = with_slot(texts, "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words), SETS_SCHEMA)
-        out = stored(found.join(wanted, ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "shingles"))
+        out = stored(found.join(told_all(wanted, few), ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "shingles"))
         discard(wanted)
         return out
 
-    def of_pairs(self, pairs: DataFrame, column: DataFrame, kind: str) -> DataFrame:
-        """The pairs with what `column` (name, kind) holds of a and b."""
-        for s in "ab":
-            pairs = pairs.join(column.select(F.col("name").alias(s), F.col(kind).alias(f"{kind}_{s}")), s)
-        return pairs
-
-    def near(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b, na, nb) those that their signatures do not rule out."""
-        return self.of_pairs(pairs, self.signs, "sign").select("a", "b", "na", "nb", "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long")
-
-    def learn(self, pairs: DataFrame) -> int:
-        """Answers the pairs (a, b) of set names from the whole sets; the number of pairs."""
-        pairs = stored(pairs.select("a", "b").distinct())
-        count = pairs.count()
+    def learn(self, pairs: DataFrame) -> tuple[int, int]:
+        """Answers the pairs (a, b, na, nb) of set names that signatures leave, from the whole sets; how many, and how many of them link."""
+        met, count = counted(pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb")))
+        few, linked = count <= FEW, 0
         if count:
-            sets = self.sets(pairs.select(F.col("a").alias("name")).union(pairs.select("b")))
-            both = self.of_pairs(pairs, sets.withColumnRenamed("shingles", "set"), "set")
-            told = stored(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"))
-            discard(sets)
+            sign = lambda s: self.signs.select(F.col("name").alias(s), F.col("sign").alias(f"sign_{s}"))
+            signed = told_all(told_all(met, few).join(sign("a"), "a"), few).join(sign("b"), "b")
+            near, count = counted(signed.select("a", "b", "na", "nb", "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long"))
+        if count:
+            sets = self.sets(near.select(F.col("a").alias("name")).union(near.select("b")), few)
+            whole = lambda s: sets.select(F.col("name").alias(s), F.col("shingles").alias(f"set_{s}"))
+            both = told_all(near, few).join(whole("a"), "a").join(whole("b"), "b")
+            told, linked = counted(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"), F.sum(F.col("linked").cast("long")))
+            discard(sets, near)
             self.refused.append(told.where("not linked").select("a", "b", "slot"))
+        if linked:
             links = told.where("linked").select("a", "b")
             self.links = links if self.links is None else self.links.unionByName(links)
-            self.components = components(self.links, "a", "b").withColumnRenamed("vertex", "name")
-        discard(pairs)
-        return count
+            self.n_links += linked
+            self.components = components(self.links, "a", "b", self.n_links).withColumnRenamed("vertex", "name")
+        discard(met)
+        return count, linked
 
     def with_components(self) -> DataFrame:
         if self.components is None:
             return self.entries.withColumn("component", F.col("name"))
         return self.entries.join(self.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
 
-    def leaders(self, turn: int) -> None:
-        """Each list's sets are compared with a few leaders of other components, the same ones in lists of the same sets.
+    def leaders(self) -> None:
+        """Each list's sets are compared with a few leaders, the same ones in lists of the same sets.
 
         Leaders are the first by several hashes of their names. Pairs are at most LEADERS times the entries.
         """
         e = self.with_components()
-        lead = lambda k: F.min_by(F.struct("component", "name", "n"), F.xxhash64("name", F.lit(turn * LEADERS + k)))
-        leads = e.groupBy("shingle").agg(F.array_distinct(F.array(*[lead(k) for k in range(LEADERS)])).alias("leads"), F.count("*").alias("size")).where("size > 1").drop("size")
+        lead = lambda k: F.min_by(F.struct("component", "name", "n"), F.xxhash64("name", F.lit(k)))
+        leads = e.groupBy("shingle").agg(F.array_distinct(F.array(*[lead(k) for k in range(LEADERS)])).alias("leads"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle", "leads")
         met = e.join(leads, "shingle").select("name", "n", "component", F.explode("leads").alias("lead")).where("component <> lead.component")
         low = F.col("name") < F.col("lead.name")
         side = lambda x, y: F.when(low, F.col(x)).otherwise(F.col(y))
         pairs = met.select(side("name", "lead.name").alias("a"), side("lead.name", "name").alias("b"), side("n", "lead.n").alias("na"), side("lead.n", "n").alias("nb"), side("name", "lead.name").eqNullSafe(F.col("name")).alias("way"))
         # a list in which both lead has the pair twice: each way is counted alone
         one = pairs.groupBy("a", "b", "way").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("shared"))
-        self.learn(self.near(one.where(_enough(self.percent)).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"))))
+        self.learn(one.where(_enough(self.percent)))
+
+    def lists(self, nearest: bool) -> tuple[int, int]:
+        """Pairs from the lists that still hold more than one component: how many were asked, and how many link.
 
-    def open_lists(self) -> DataFrame:
-        """The entries of lists that hold more than one component, with the list's number of blocks and whether it is long."""
-        e = stored(self.with_components())
+        `nearest`: from long lists the nearest pair out of each component alone, and all pairs from short lists, which have fewer
+        than SIGNED / 2 of them an entry and are then done with. Else all pairs that are not yet answered. Lists
+        of one component never hold another again, and are left out from here on.
+        """
+        e = self.with_components()
         size = e.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"), (F.count("*") >= SIGNED).alias("long")).where("low <> high").select("shingle", "blocks", "long")
-        out = stored(e.join(size, "shingle"))
-        discard(e)
+        e = stored(e.join(size, "shingle"))
+        long = e.where("long").join(self.signs, "name")
+        told = None
+        if nearest:
+            told = self.spark.sparkContext.broadcast(slot_filter(self.answered_no().select("slot"), F.col("slot"), ANSWERED_SLOTS))
+            long = long.unionByName(e.where("not long").withColumn("sign", F.lit(None).cast("binary")))
+        pairs = self.pairs_in(long, told)
+        found = self.learn(pairs if nearest else pairs.join(self.answered_no(), ["a", "b"], "left_anti"))
+        if self.open:
+            discard(self.open)
+        self.open, self.entries = e, e.where("long").select("shingle", "name", "n", "pos")
+        return found
+
+    def answered_no(self) -> DataFrame:
+        out = self.spark.createDataFrame([], "a long, b long, slot long") if not self.refused else self.refused[0]
+        for more in self.refused[1:]:
+            out = out.unionByName(more)
         return out
 
     def pairs_in(self, e: DataFrame, refused=None) -> DataFrame:
@@ -463,32 +487,7 @@ class JaccardJoin:
         e = e.withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         e = e.select("shingle", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "name", "n", "pos", "component", "sign")
-        return e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent, refused), "a long, b long")
-
-    def short_lists(self) -> None:
-        """All pairs of different components in short lists, which have fewer than SIGNED / 2 pairs an entry."""
-        e = self.open_lists()
-        pairs = self.pairs_in(e.where("not long").withColumn("sign", F.lit(None).cast("binary")))
-        sizes = self.members.groupBy("name").agg(F.first("n").alias("n"))
-        self.learn(self.near(self.of_pairs(pairs.distinct(), sizes, "n").withColumnsRenamed({"n_a": "na", "n_b": "nb"})))
-        discard(e)
-
-    def long_lists(self, nearest: bool) -> int:
-        """Nearest pairs out of each component in long lists, or all pairs that no bound rules out; the number of pairs."""
-        e = self.open_lists()
-        signed = e.where("long").join(self.signs, "name")
-        told = None
-        if nearest:
-            known = self.refused[0] if self.refused else self.spark.range(0).select(F.col("id").alias("slot"))
-            for more in self.refused[1:]:
-                known = known.unionByName(more)
-            told = self.spark.sparkContext.broadcast(slot_filter(known, F.col("slot"), ANSWERED_SLOTS))
-        pairs = self.pairs_in(signed, told).distinct()
-        for known in [] if nearest else self.refused:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        found = self.learn(pairs)
-        discard(e)
-        return found
+        return e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent, refused), "a long, b long, na long, nb long")
 
 
 SETS_SCHEMA = "doc_id long, name long, shingles binary"
@@ -497,13 +496,13 @@ SETS_SCHEMA = "doc_id long, name long, shingles binary"
 def jaccard_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, name, n, component_id) for each row of `docs` (doc_id, text) with an id; `name` stands for the row's set."""
     join = JaccardJoin(docs.where("doc_id is not null"), words, percent)
-    for turn in range(ROUNDS):
-        join.leaders(turn)
-    join.short_lists()
+    join.leaders()
     for _ in range(NEAREST):
-        if not join.long_lists(True):
+        asked, linked = join.lists(True)
+        if WORTH * linked <= asked:
             break
-    join.long_lists(False)
+    if asked:
+        join.lists(False)
     empty = join.members.where("name = 0").withColumn("component_id", F.col("doc_id"))
     real = join.members.where("name <> 0")
     if join.components is None:
@@ -522,10 +521,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     sequence, one without words (or null) none and links with nothing. Sets link when their Jaccard similarity is
     at least `percent` / 100. component_id is the smallest id reachable by links, its own included.
 
-    Equal sets are one set. Two rounds answer the pairs of each list with its leaders; sets linked by then
+    Equal sets are one set. First the pairs of each list with its leaders are answered; sets linked by then
     share their answers. Short lists are then answered pair by pair. In long ones each component asks, for a few
-    rounds, for its nearest outside set by signature (Boruvka's way to join components), as any other pair of two
-    components is answered with the first one that links. The last round answers all pairs of
+    rounds, for its nearest outside set by signature (Boruvka's way to join components), as all other pairs of two
+    components are answered with the first one that links. The last round answers all pairs of
     different components that are left, so none is missed. Pairs are answered by the whole sets. Null ids: size only, component
     null, and they link nothing. Rows that repeat an id are repeated in the result. Empty table: no rows.
     """

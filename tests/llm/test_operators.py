@@ -187,7 +187,6 @@ def test_jaccard_join(spark, seed, monkeypatch):
 def test_jaccard_list_pairs(spark, signed, monkeypatch):
     """The last round alone, without leaders, finds all links with and without signatures."""
     monkeypatch.setattr(jaccard_join, "SIGNED", signed)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
     rows = corpus(5)
     found = rows_of(jaccard_join.jaccard_components(docs_of(spark, rows).repartition(3)))
     assert {i: r["component_id"] for i, r in found.items()} == brute_components(brute_sets(rows))
