@@ -37,6 +37,17 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def whole_rows(df: DataFrame) -> Column:
+    """A row as one struct: carried through an operator, its columns clash with none of the operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def row_order(df: DataFrame, *first: Column) -> Column:
+    """An order of whole rows (named row) that depends on what they hold alone; maps do not count."""
+    held = [F.col("row").getField(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.struct(*first, F.xxhash64(*held))
+
+
 def counted(df: DataFrame, what: Column | None = None) -> tuple[DataFrame, int]:
     """`df` stored, and the number of its rows (or another sum over them), counted while it is written."""
     seen = Observation()
@@ -131,6 +142,30 @@ def slot_filter(rows: DataFrame, slot: Column, slots: int) -> np.ndarray:
     return out
 
 
+#: Bits of a page of a filter that is told as rows (page, bits).
+PAGE_BITS = 32768
+
+
+def slot_pages(slots: DataFrame, slot: str) -> DataFrame:
+    """(page, bits): the slots that occur, as pages of 4 KB."""
+    return slots.groupBy(F.floor(F.col(slot) / PAGE_BITS).cast("int").alias("page")).agg(F.bitmap_construct_agg(F.pmod(F.col(slot), F.lit(PAGE_BITS)).cast("long")).alias("bits"))
+
+
+def page_bit(bits: Column, slot: Column) -> Column:
+    """Whether the slot occurs, from the bits of its page (null: no such page)."""
+    at = F.pmod(slot, F.lit(PAGE_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
+
+
+def maybe_among(rows: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
+    """Adds `maybe`: false only where the row's id is not in `ids`. FILTER_SLOTS bits (1 MB) are broadcast, whatever the ids."""
+    pages = F.broadcast(slot_pages(ids.select(_slot(F.col(id_column)).alias("slot")).distinct(), "slot").withColumnRenamed("page", "_page"))
+    slot = _slot(F.col(column))
+    met = rows.join(pages, F.floor(slot / PAGE_BITS).cast("int") == F.col("_page"), "left")
+    return met.withColumn("maybe", page_bit(F.col("bits"), slot)).drop("_page", "bits")
+
+
 def with_slot(df: DataFrame, column: str, name: str = "_slot") -> DataFrame:
     """Adds where `id_filter` keeps the bit of this row's id."""
     slot = _slot(F.col(column))

@@ -39,7 +39,7 @@ def possible(a: tuple, b: tuple, threshold: float) -> tuple[np.ndarray, np.ndarr
 
 
 def _tile(key: tuple, rows: pa.Table) -> pa.Table:
-    ids, sizes = rows["rep"].to_numpy(), rows["copies"].to_numpy()
+    ids, sizes = rows["node"].to_numpy(), rows["copies"].to_numpy()
     order = np.lexsort((ids,))
     vectors = np.stack([np.asarray(v, dtype=np.float64) for v in rows["embedding"].to_pylist()])[order]
     return pa.table({"label": [key[0].as_py()], "width": pa.array([key[1].as_py()], pa.int32()), "tile": pa.array([key[2].as_py()], pa.int32()), "n": pa.array([len(ids)], pa.int32()), "ids": [ids[order].tobytes()], "copies": [sizes[order].tobytes()], "vectors": [vectors.tobytes()]})
@@ -70,7 +70,7 @@ def _pairs(threshold: float):
                 names, flat = np.unique(ids, return_inverse=True)
                 low = names[local_components(len(names), flat[i], flat[j + len(ids_a)])][flat]
                 hit = np.flatnonzero(links)
-                yield pa.record_batch([pa.array(ids[hit]), pa.array(links[hit]), pa.array(low[hit])], names=["rep", "links", "low"])
+                yield pa.record_batch([pa.array(ids[hit]), pa.array(links[hit]), pa.array(low[hit])], names=["node", "links", "low"])
 
     return run
 
@@ -86,7 +86,7 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     its pairs of tiles, each of which is a row of its own, so a hot label spreads over all tasks.
 
     Vectors that are null, empty, zero, or hold null or non-finite parts link with nothing, nor do those of a null
-    label or of different widths. Rows that repeat a vec_id count as vectors of their own. Null ids: no links are
+    label or of different widths. Rows that repeat a vec_id count as vectors of their own, and each has its own links. Null ids: no links are
     found for their own row and they count for no other; component null, kept false. Empty table: no rows.
     """
     v = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"), F.col(label).cast("string").alias("label"))
@@ -94,24 +94,26 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & (big > 0) & (big < float("inf"))
     key = F.sha2(F.to_json(F.struct("label", F.transform("embedding", lambda x: x + 0.0).alias("e"))), 256)
     v = v.withColumn("key", F.when(F.coalesce(fine, F.lit(False)), key))
-    reps = stored(v.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")))
+    # a number for each distinct vector of a label, fixed once written: the smallest vec_id may belong to several
+    reps = stored(v.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")).withColumn("node", F.monotonically_increasing_id()))
     reps = reps.withColumn("width", F.size("embedding"))
     counts = reps.groupBy("label", "width").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     tiles = stored(
-        reps.join(counts, ["label", "width"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-        .select("label", "width", "tile", "rep", "copies", "embedding").groupBy("label", "width", "tile")
+        reps.join(counts, ["label", "width"]).withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+        .select("label", "width", "tile", "node", "copies", "embedding").groupBy("label", "width", "tile")
         .applyInArrow(_tile, "label string, width int, tile int, n int, ids binary, copies binary, vectors binary")
     )
     names = tiles.select("label", "width", F.col("tile").alias("tile_b"))
     plan = names.join(counts, ["label", "width"]).withColumn("tile_a", F.explode(F.sequence(F.lit(0), F.col("tile_b"))))
     side = lambda s: tiles.select("label", "width", F.col("tile").alias(f"tile_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("ids", "copies", "vectors")])
     paired = plan.select("label", "width", "tile_a", "tile_b").join(side("a"), ["label", "width", "tile_a"]).join(side("b"), ["label", "width", "tile_b"])
-    found = stored(paired.select("tile_a", "tile_b", *[f"{c}_{s}" for s in "ab" for c in ("ids", "copies", "vectors")]).mapInArrow(_pairs(threshold), "rep long, links long, low long"))
-    linked = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    comp = components(found, "rep", "low").withColumnRenamed("vertex", "rep")
-    by_rep = reps.select("key", "rep", "copies").join(linked, "rep", "left").join(comp, "rep", "left")
-    out = v.join(by_rep, "key", "left")
-    component = F.coalesce("component", "rep", "vec_id")
+    found = stored(paired.select("tile_a", "tile_b", *[f"{c}_{s}" for s in "ab" for c in ("ids", "copies", "vectors")]).mapInArrow(_pairs(threshold), "node long, links long, low long"))
+    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+    comp = components(found, "node", "low").withColumnRenamed("vertex", "node").withColumnRenamed("component", "group")
+    nodes = reps.select("key", "node", "rep", "copies").join(linked, "node", "left").join(comp, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    first = nodes.groupBy("group").agg(F.min("rep").alias("component"))  # nodes' numbers say nothing of ids
+    out = v.join(nodes.join(first, "group"), "key", "left")
+    component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 

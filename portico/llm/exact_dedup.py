@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import page_bit, row_order, slot_pages, whole_rows
+from .common import PAGE_BITS
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Slots of the filter, 2 bits of hash each row. It is broadcast as a bitmap of FILTER_SLOTS / 8 = 4 MB at most.
 FILTER_SLOTS = 1 << 25
-PAGE_BITS = 32768
 
 
 def normalised(text: Column) -> Column:
@@ -27,15 +29,19 @@ def repeated_slots(docs: DataFrame, text: str = "text") -> DataFrame:
     Counts are combined before the shuffle. There are FILTER_SLOTS / 32768 pages at most.
     """
     slots = docs.select(F.explode(_slots(normalised(F.col(text)))).alias("slot")).groupBy("slot").count().where("count > 1")
-    return slots.groupBy(F.floor(F.col("slot") / PAGE_BITS).cast("int").alias("page")).agg(
-        F.bitmap_construct_agg(F.pmod(F.col("slot"), F.lit(PAGE_BITS)).cast("long")).alias("bits")
-    )
+    return slot_pages(slots, "slot")
 
 
-def _bit(bits: Column, slot: Column) -> Column:
-    at = F.pmod(slot, F.lit(PAGE_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0, F.lit(False))
+def _marked(docs: DataFrame, text: str, rows: DataFrame) -> DataFrame:
+    """`rows` (norm, and what else is to be carried) with `maybe`: whether both slots of the text repeat in `docs`."""
+    pages = F.broadcast(repeated_slots(docs, text))  # at most 1024 pages of 4 KB
+    rows = rows.withColumn("slots", _slots(F.col("norm")))
+    for k in (0, 1):
+        page = pages.select(F.col("page").alias(f"page{k}"), F.col("bits").alias(f"bits{k}"))
+        slot = F.col("slots")[k]
+        rows = rows.withColumn("at", F.floor(slot / PAGE_BITS).cast("int")).join(page, F.col("at") == F.col(f"page{k}"), "left")
+        rows = rows.withColumn(f"hit{k}", page_bit(F.col(f"bits{k}"), slot)).drop("at", f"page{k}", f"bits{k}")
+    return rows.withColumn("maybe", F.col("hit0") & F.col("hit1")).drop("hit0", "hit1", "slots")
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -49,15 +55,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     Null ids: such a row stays only if all ids of its group are null. Rows that repeat an id and its text share
     one verdict and each count in group_size. Empty table: no rows. Other columns of `docs` are not read.
     """
-    pages = F.broadcast(repeated_slots(docs, text))  # at most 1024 pages of 4 KB
-    norm = normalised(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.sha2(norm, 256).alias("text_sha256"), _slots(norm).alias("slots"))
-    for k in (0, 1):
-        page = pages.select(F.col("page").alias(f"page{k}"), F.col("bits").alias(f"bits{k}"))
-        slot = F.col("slots")[k]
-        rows = rows.withColumn("at", F.floor(slot / PAGE_BITS).cast("int")).join(page, F.col("at") == F.col(f"page{k}"), "left")
-        rows = rows.withColumn(f"hit{k}", _bit(F.col(f"bits{k}"), slot)).drop("at", f"page{k}", f"bits{k}")
-    rows = rows.select("doc_id", "text_sha256", (F.col("hit0") & F.col("hit1")).alias("maybe"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("norm"))
+    rows = _marked(docs, text, rows).select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "maybe")
     alone = rows.where(~F.col("maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = rows.where("maybe").select("doc_id", F.unhex("text_sha256").alias("key"))
     groups = maybe.groupBy("key").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -66,9 +65,19 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def kept_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that stay, all columns as they are; rows that repeat an id and its text stay or go together."""
-    drop = exact_dedup(docs, text, doc_id).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped"))
-    return docs.join(drop, docs[doc_id] == F.col("_dropped"), "left_anti")
+    """Of equal texts one row, that of the largest id, all columns as they are.
+
+    Each row follows its own text: an id that occurs with several texts stays with each of them that is not a copy. Of rows
+    that repeat an id and its text (up to case) one stays: of the largest text by code point, then by a hash of the
+    row. Null ids are the smallest. Rows whose hash does not repeat pass straight through; the others are
+    reduced to one for each text within each task, then shuffled by SHA-256 and reduced again. Empty table: no rows.
+    """
+    rows = docs.select(whole_rows(docs).alias("row"), normalised(F.col(f"`{text}`")).alias("norm"))
+    rows = _marked(docs, text, rows)
+    alone = rows.where(~F.col("maybe")).select("row")
+    order = row_order(docs, F.col("row").getField(doc_id), F.col("row").getField(text))
+    best = rows.where("maybe").groupBy(F.sha2("norm", 256).alias("key")).agg(F.max_by("row", order).alias("row"))
+    return alone.unionByName(best.select("row")).select("row.*")
 
 
 ORACLE = r"""

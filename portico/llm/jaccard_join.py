@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, counted, discard, gather_blobs, id_filter, in_filter, parallelism, slot_filter, stored, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, counted, discard, gather_blobs, id_filter, in_filter, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
@@ -494,7 +495,7 @@ SETS_SCHEMA = "doc_id long, name long, shingles binary"
 
 
 def jaccard_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, name, n, component_id) for each row of `docs` (doc_id, text) with an id; `name` stands for the row's set."""
+    """(doc_id, name, n, component, component_id) for each row of `docs` (doc_id, text) with an id; `name` stands for the row's set."""
     join = JaccardJoin(docs.where("doc_id is not null"), words, percent)
     join.leaders()
     for _ in range(NEAREST):
@@ -503,15 +504,12 @@ def jaccard_members(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             break
     if asked:
         join.lists(False)
-    empty = join.members.where("name = 0").withColumn("component_id", F.col("doc_id"))
+    empty = join.members.where("name = 0").select("doc_id", "name", "n", F.col("name").alias("component"), F.col("doc_id").alias("component_id"))
     real = join.members.where("name <> 0")
-    if join.components is None:
-        first = join.holders
-        return real.join(first.withColumnRenamed("doc_id", "component_id"), "name").select("doc_id", "name", "n", "component_id").unionByName(empty)
-    sets = join.holders.join(join.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    sets = join.holders.withColumn("component", F.col("name")) if join.components is None else join.holders.join(join.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
     first = sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = sets.join(first, "component").select("name", "component_id")
-    return real.join(named, "name").select("doc_id", "name", "n", "component_id").unionByName(empty)
+    named = sets.join(first, "component").select("name", "component", "component_id")
+    return real.join(named, "name").select("doc_id", "name", "n", "component", "component_id").unionByName(empty)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -542,7 +540,32 @@ def _sizes(words: int):
     return run
 
 
-def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` without those that a smaller id of their component stands for; null ids stay."""
-    drop = jaccard_components(docs, text, doc_id).where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(drop, docs[doc_id] == F.col("_dropped"), "left_anti")
+def _named(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [set_hash(s) for _, s in _sets(batch, words)]
+            yield pa.record_batch([batch["row"], batch["own"], pa.array(names, pa.int64())], names=["row", "own", "name"])
+
+    return run
+
+
+def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Of each component of `docs` one row, that of the smallest id, all columns as they are.
+
+    Each row follows its own text's set, also where ids repeat. Of rows of the smallest id in a component (repeated
+    rows) the one of the smallest text by code point, then by a hash of the row, stays. Rows without words and rows of null
+    ids link with nothing and stay. Only rows whose id may be in a group of two or more (a filter of 1 MB tells) are named
+    again, reduced to one for each component within each task, and shuffled; all others pass straight through.
+    """
+    members = jaccard_members(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")), words, percent).where("name <> 0")
+    members = stored(members.select("doc_id", "name", "component"))
+    groups = members.groupBy("component").count().where("count > 1").select("component")
+    grouped = stored(members.join(groups, "component").distinct())
+    rows = docs.select(whole_rows(docs).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("own"))
+    rows = maybe_among(rows, "own", grouped, "doc_id")
+    schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("own", LongType()), StructField("name", LongType())])
+    named = rows.where("maybe and own is not null").withColumn("text", F.col("row").getField(text)).select("row", "own", "text").mapInArrow(_named(words), schema)
+    met = named.join(grouped.withColumnRenamed("doc_id", "own"), ["own", "name"], "left")
+    best = met.where("component is not null").groupBy("component").agg(F.min_by("row", row_order(docs, F.col("own"), F.col("row").getField(text))).alias("row"))
+    parts = [rows.where("own is null or not maybe"), met.where("component is null"), best]
+    return parts[0].select("row").unionByName(parts[1].select("row")).unionByName(parts[2].select("row")).select("row.*")

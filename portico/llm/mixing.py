@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole_rows
 from .thresholds import hash_rank, thresholds
 
 #: Fixed values of the query: weights of the sources in turn, share of all words, most copies of a source or document.
@@ -48,24 +48,40 @@ def mix_sources(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sou
     Null or empty text: size 0, taken 0. Null sources form one source, last in order. Null ids hash as the empty
     text; rows that repeat an id are taken or left together. A source of size 0 has target 0. Empty table: no rows.
     """
-    sized = stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), hash_rank(F.col(doc_id)).alias("rank")))
+    sized = _sized(docs, text, doc_id, source)
+    plan = _plan(sized, weights, share, most)
+    out = sized.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", _copies(F.col("rank"), most))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _sized(docs: DataFrame, text: str, doc_id: str, source: str) -> DataFrame:
+    return stored(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), hash_rank(F.col(doc_id)).alias("rank")))
+
+
+def _copies(rank: Column, most: int) -> Column:
+    return F.when(F.col("whole") >= most, F.col("whole")).otherwise(F.col("whole") + F.when(rank < F.col("bound"), 1).otherwise(0))
+
+
+def _plan(sized: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
+    """For each source (_s) its size, target, whole copies of all its rows, and the bound below which hashes are taken once more."""
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = stored(targets.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")))
     bounds = thresholds(sized, "source", "rank", "size", targets)
     nearer = F.col("below") + F.col("at_bound") - F.col("budget") < F.col("budget") - F.col("below")
-    plan = stored(targets.alias("t").join(bounds.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source"))).select(F.col("t.source").alias("_s"), "source_size", "target", "whole", (F.col("bound") + F.when(nearer & (F.col("at_bound") > 0), 1).otherwise(0)).alias("bound")))
-    copies = F.col("whole") + F.when(F.col("rank") < F.col("bound"), 1).otherwise(0)
-    out = sized.join(plan, F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", F.when(F.col("whole") >= most, F.col("whole")).otherwise(copies))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return stored(targets.alias("t").join(bounds.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source"))).select(F.col("t.source").alias("_s"), "source_size", "target", "whole", (F.col("bound") + F.when(nearer & (F.col("at_bound") > 0), 1).otherwise(0)).alias("bound")))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them in their source, all columns as they are; rows with null ids by the same rule."""
-    plan = mix_sources(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("copies").alias("_copies")).distinct()
-    same = docs[options.get("doc_id", "doc_id")].eqNullSafe(F.col("_id")) & docs[options.get("source", "source")].eqNullSafe(F.col("_source"))
-    keyed = docs.join(plan, same)
-    return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*[docs[c] for c in docs.columns])
+def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, all columns as they are.
+
+    Each row goes by its own source's threshold, also where ids repeat or are null, so none is taken more than `most` times.
+    The sources' plan (a row for each source) meets the documents where they are read.
+    """
+    plan = _plan(_sized(docs, text, doc_id, source), weights, share, most)
+    rows = docs.select(whole_rows(docs).alias("row"), F.col(f"`{source}`").alias("own"), hash_rank(F.col(f"`{doc_id}`")).alias("rank"))
+    met = rows.join(plan, F.col("own").eqNullSafe(F.col("_s"))).withColumn("copies", _copies(F.col("rank"), most)).where("copies > 0")
+    return met.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 ORACLE = r"""

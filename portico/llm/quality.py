@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import stored
+from .common import stored, whole_rows
 from .hashing import blocks, text_buffer
 from .thresholds import hash_rank, thresholds
 from .tokens import style_grams
@@ -17,8 +18,8 @@ from .tokens import style_grams
 BUCKETS = 1 << 14
 #: Labelled rows that the target model and the threshold are fitted on: those of smallest hashed id, at most so many.
 LABELLED = 20_000
-#: Scale of the Gumbel noise against a document's mean log ratio for an n-gram.
-TEMPERATURE = 0.002
+#: A document's importance weight is that of so many of its n-grams, whatever its length: else long texts would decide alone.
+LENGTH = 500.0
 
 
 def _grams(batch: pa.RecordBatch, buckets: int):
@@ -54,7 +55,8 @@ def _scores(ratio, buckets: int):
                 total[first:last] = np.bincount(row, weights=table[grams], minlength=last - first)
                 n[first:last] = np.bincount(row, minlength=last - first)
             mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
-            yield pa.record_batch([batch["doc_id"], pa.array(total), pa.array(mean), pa.array(n)], names=["doc_id", "log_ratio", "score", "n_grams"])
+            carried = [c for c in batch.schema.names if c != "text"]
+            yield pa.record_batch([*[batch[c] for c in carried], pa.array(total), pa.array(mean), pa.array(n)], names=[*carried, "log_ratio", "score", "n_grams"])
 
     return run
 
@@ -71,45 +73,55 @@ def best_cut(score: np.ndarray, good: np.ndarray) -> float:
     return float("-inf") if k == 0 else float("inf") if k == len(s) else float((s[k - 1] + s[k]) / 2)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, labelled: int = LABELLED, temperature: float = TEMPERATURE) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, labelled: int = LABELLED, length: float = LENGTH) -> DataFrame:
     """One row for each document: doc_id, log_ratio, score, n_grams, kept.
 
     Two hashed n-gram models with add-one smoothing: target from the labelled good documents (quality 1; at most
     `labelled` labelled rows, of smallest hashed id, are used), raw from all documents. A document's log_ratio is
-    its log weight under target over raw, `score` the mean for an n-gram. Kept are the k documents of highest
-    score plus Gumbel noise times `temperature`: a sample without replacement by weight. The noise hangs on the id
-    alone, so reruns agree. k is the number of documents from the labelled rows' best cut on; the k-th key is found by
+    its log weight under target over raw, `score` the mean for an n-gram. Its importance weight is exp(`length` x score):
+    what `length` of its n-grams would weigh, so that texts of all lengths compete alike. Kept are the k documents of
+    largest `length` x score plus Gumbel noise: a sample without replacement by importance weight. The noise hangs on the
+    id alone, so reruns agree. k is the number of documents from the labelled rows' best cut on; the k-th key is found by
     histograms, not by a sort. Documents whose keys tie at the end are all kept.
 
     Null or empty text: no n-grams, score 0. Null ids: noise of the empty id. Without labelled rows, or
     without bad ones among them, all stay. Empty table: no rows.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _judged(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), labels, buckets, labelled, length).select("doc_id", "log_ratio", "score", "n_grams", "kept")
+
+
+def _judged(rows: DataFrame, labels: DataFrame, buckets: int, labelled: int, length: float) -> DataFrame:
+    """The rows (doc_id, text, and what else is to be carried) with log_ratio, score, n_grams and kept instead of the text."""
+    spark = rows.sparkSession
+    carried = [f for f in rows.schema.fields if f.name != "text"]
     use = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality").withColumn("r", hash_rank(F.col("doc_id"))).orderBy("r", "doc_id").limit(labelled)
     known = {r["doc_id"]: r["quality"] for r in use.collect()}
     told = spark.sparkContext.broadcast(known)
-    found = rows.mapInArrow(_counts(told, buckets), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    found = rows.select("doc_id", "text").mapInArrow(_counts(told, buckets), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.ones(buckets), np.ones(buckets)
     raw[found["bucket"]] += found["raw"]
     target[found["bucket"]] += found["target"]
     half = buckets // 2
     ratio = np.concatenate([np.log(target[s] / target[s].sum()) - np.log(raw[s] / raw[s].sum()) for s in (slice(0, half), slice(half, None))])
-    scored = rows.mapInArrow(_scores(spark.sparkContext.broadcast(ratio), buckets), "doc_id long, log_ratio double, score double, n_grams long")
+    scored = rows.mapInArrow(_scores(spark.sparkContext.broadcast(ratio), buckets), StructType([*carried, *[StructField(c, t) for c, t in (("log_ratio", DoubleType()), ("score", DoubleType()), ("n_grams", LongType()))]]))
     uniform = (hash_rank(F.concat(F.lit("gumbel"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))) + 0.5) / float(1 << 60)
-    scored = stored(scored.withColumn("key", F.col("score") - F.lit(temperature) * F.log(-F.log(uniform))))
+    scored = stored(scored.withColumn("key", F.col("score") - F.log(-F.log(uniform)) / F.lit(length)))
     sample = use.select(F.col("doc_id").alias("id"), "quality").join(scored, F.col("id") == F.col("doc_id")).select("score", "quality").toPandas()
     cut = best_cut(sample["score"].to_numpy(float), sample["quality"].to_numpy() == 1)
     k = scored.where(F.col("score") >= cut).count()
     rank = F.least(F.greatest(F.floor((F.lit(64.0) - F.col("key")) * float(1 << 52)), F.lit(0)), F.lit((1 << 60) - 1)).cast("long")  # highest key first
     ranked = scored.withColumn("one", F.lit(1)).withColumn("all", F.lit(0)).withColumn("rank", rank)
+    narrow = ranked.select("one", "all", "rank")
     budget = spark.range(1).select(F.lit(0).alias("all"), F.lit(float(k)).alias("budget"))
-    bound = thresholds(ranked, "all", "rank", "one", budget).first() if k else None
+    bound = thresholds(narrow, "all", "rank", "one", budget).first() if k else None
     last = bound["bound"] + int(bound["at_bound"] > 0 and bound["below"] < k) if bound else 0  # ties at the end stay, unless k are full before them
-    return ranked.select("doc_id", "log_ratio", "score", "n_grams", (F.col("rank") < F.lit(last)).alias("kept"))
+    return ranked.withColumn("kept", F.col("rank") < F.lit(last)).drop("one", "all", "rank", "key")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that are kept; null ids stay."""
-    drop = quality_scores(docs, labels, text, doc_id).where("not kept").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(drop, docs[doc_id] == F.col("_dropped"), "left_anti")
+    """The rows of `docs` that `quality_scores` keeps, all columns as they are.
+
+    Each row follows its own verdict, also where ids repeat or are null. The rows are scored and written once, and not shuffled.
+    """
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), whole_rows(docs).alias("row"))
+    return _judged(rows, labels, BUCKETS, LABELLED, LENGTH).where("kept").select("row.*")

@@ -247,15 +247,26 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
     Removed is each UTF-8 byte that a `width`-byte string covers which also starts earlier: in a document of a
     smaller id, or earlier in the same one. Strings are those of the input and never cross documents.
 
-    Null text counts as empty; texts below `width` bytes lose nothing. Rows that repeat an id must repeat its text:
-    they count as one place and have the same result. Rows of null ids lose nothing and repeat nothing. A run of
+    Null text counts as empty; texts below `width` bytes lose nothing. Rows that repeat an id are documents of their
+    own, in order of the SHA-256 of their texts; rows that repeat an id and its text count as one place and have the same result. Rows of null ids lose nothing and repeat nothing. A run of
     one byte is one phrase for each place of its trigger, all equal, and so a single dictionary entry. Empty
     table: no rows.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _dedup(rows, width, trigger)
+    # places of rows that repeat an id are numbered in order of id and text; equal rows share one
+    own = rows.withColumn("hash", F.sha2("text", 256))
+    places = stored(own.where("doc_id is not null").select("doc_id", "hash").distinct().orderBy("doc_id", "hash").withColumn("place", F.monotonically_increasing_id()))
+    numbered = own.join(places, ["doc_id", "hash"], "left").select(F.col("place").alias("doc_id"), "text")
+    found = _dedup(numbered, width, trigger).withColumnRenamed("doc_id", "place")
+    return found.join(places.select("doc_id", "place"), "place", "left").select("doc_id", *[c for c in found.columns if c != "place"])
+
+
+def _dedup(rows: DataFrame, width: int, trigger: int) -> DataFrame:
     runs = repeated_runs(rows.where(F.col("doc_id").isNotNull()), width, trigger)
     cut_ids = stored(runs.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(cut_ids, "doc_id"))
+    bits = rows.sparkSession.sparkContext.broadcast(id_filter(cut_ids, "doc_id"))
     slotted = with_slot(rows.where(F.col("doc_id").isNotNull()), "doc_id", "slot")
     cut = slotted.mapInArrow(_filtered(bits), "doc_id long, text string").join(cut_ids, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(_cut(width), CUT_DDL)
     whole = with_slot(rows, "doc_id", "slot").mapInArrow(_untouched(bits), CUT_DDL)

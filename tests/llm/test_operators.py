@@ -1,16 +1,20 @@
 """The training-data operators against plain versions, on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from portico.llm import embedding_join, exact_dedup, jaccard_join, licenses, mixing, packing, quality, suffix_dedup, toxicity, url_rules
 from portico.llm.common import components, local_components
+from portico.llm.hashing import text_buffer
+from portico.llm.tokens import style_grams
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, count long, key string"
@@ -78,6 +82,21 @@ def test_suffix_dedup_odd_tables(spark):
     assert sorted(got, key=str) == [(1, 99, 0, 0), (1, 99, 0, 0), (2, 0, 0, 0), (None, 150, 0, 0)]
 
 
+def test_suffix_dedup_repeated_ids(spark):
+    """Rows that share an id are documents of their own, in order of their texts' hashes."""
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdef") for _ in range(6))
+    a, b, c = (" ".join(word() for _ in range(40)) for _ in range(3))
+    rows = [(5, f"{a} {b}", None), (5, f"{b} {c}", None), (5, f"{b} {c}", None), (3, f"{c} x", None), (7, f"y {a}", None), (7, None, None), (None, a, None)]
+    found = sorted((str(x["doc_id"]), x["kept_sha256"], x["n_removed"]) for x in suffix_dedup.suffix_dedup(docs_of(spark, rows).repartition(3)).collect())
+    own = sorted({(i, t or "") for i, t, _ in rows if i is not None}, key=lambda x: (x[0], hashlib.sha256(x[1].encode()).hexdigest()))
+    want = brute_repeats([(k, t, None) for k, (_, t) in enumerate(own)], 100)
+    at = {x: k for k, x in enumerate(own)}
+    expect = [(str(i), want[at[i, t or ""]][3], want[at[i, t or ""]][1]) for i, t, _ in rows if i is not None] + [("None", hashlib.sha256(a.encode()).hexdigest(), 0)]
+    assert found == sorted(expect)
+    assert sum(x[2] for x in found) > 400
+
+
 def test_exact_dedup(spark):
     rows = corpus(2) + [(401, "Same TEXT", "s"), (402, "same text", "s"), (403, "SAME text", None), (404, "É", "s"), (405, "é", "s")]
     found = rows_of(exact_dedup.exact_dedup(docs_of(spark, rows)))
@@ -255,6 +274,13 @@ def test_embedding_links(spark, monkeypatch):
     assert embedding_join.embedding_links(df.limit(0)).count() == 0
 
 
+def test_embedding_links_of_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.01], 0), (2, [0.0, 1.0], 0), (2, [0.0, 1.0], 0), (2, [5.0, 0.0], 1), (None, [1.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in embedding_join.embedding_links(df).collect())
+    assert found == [("1", 1, "1", True), ("1", 1, "1", True), ("2", 0, "2", True), ("2", 1, "2", True), ("2", 1, "2", True), ("None", 0, "None", False)]
+
+
 def test_quantisation_bound():
     r = np.random.default_rng(8)
     x = r.normal(size=(300, 64)) * r.uniform(0.1, 3, size=(1, 64))
@@ -402,7 +428,7 @@ def test_quality(spark):
 
 def test_quality_sample_is_the_top_k(spark):
     df, labels = labelled(spark, 200)
-    rows = quality.quality_scores(df, labels, temperature=20.0).collect()
+    rows = quality.quality_scores(df, labels, length=0.05).collect()
     k = sum(r["kept"] for r in rows)
     assert 100 < k < 200
     assert min(r["log_ratio"] for r in rows if r["kept"]) < max(r["log_ratio"] for r in rows if not r["kept"])
@@ -413,12 +439,39 @@ def test_quality_keeps_ties_at_the_end(spark):
     df, labels = labelled(spark, 120)
     rows = [(r["doc_id"], r["text"], "s") for r in df.collect() for _ in range(7 if r["doc_id"] % 6 else 1)]
     many = docs_of(spark, rows).repartition(3)
-    k = quality.quality_scores(many, labels, temperature=0.0).where("kept").count()
-    kept = Counter(r["doc_id"] for r in quality.quality_scores(many, labels, temperature=20.0).where("kept").collect())
+    k = quality.quality_scores(many, labels, length=float("inf")).where("kept").count()
+    kept = Counter(r["doc_id"] for r in quality.quality_scores(many, labels, length=0.05).where("kept").collect())
     assert k <= sum(kept.values()) < k + 7
     assert all(n == (7 if i % 6 else 1) for i, n in kept.items())
 
 
+def test_quality_against_a_plain_version(spark):
+    """Ratios, noise and the k kept, from counts and a sort in plain Python."""
+    df, labels = labelled(spark, 150)
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    told = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    half = quality.BUCKETS // 2
+    grams = {i: style_grams(*text_buffer(pa.array([t])), quality.BUCKETS)[0].tolist() for i, t in texts.items()}
+    raw, target = [1] * quality.BUCKETS, [1] * quality.BUCKETS
+    for i, own in grams.items():
+        for g in own:
+            raw[g] += 1
+            target[g] += told.get(i) == 1
+    sums = [(sum(target[s]), sum(raw[s])) for s in (slice(0, half), slice(half, None))]
+    ratio = [math.log(target[g] / sums[g >= half][0]) - math.log(raw[g] / sums[g >= half][1]) for g in range(quality.BUCKETS)]
+    score = {i: sum(ratio[g] for g in own) / len(own) for i, own in grams.items()}
+    ids = sorted(told)
+    cut = quality.best_cut(np.array([score[i] for i in ids]), np.array([told[i] == 1 for i in ids]))
+    k = sum(s >= cut for s in score.values())
+    for length in (quality.LENGTH, 2.0):
+        uniform = {i: (int(hashlib.md5(f"gumbel{i}".encode()).hexdigest()[:15], 16) + 0.5) / 2**60 for i in texts}  # the rank's MD5 of the noise's name
+        key = {i: length * score[i] - math.log(-math.log(uniform[i])) for i in texts}
+        best = set(sorted(key, key=key.get, reverse=True)[:k])
+        found = rows_of(quality.quality_scores(df, labels, length=length))
+        assert {i for i, r in found.items() if r["kept"]} == best
+        assert all(r["score"] == pytest.approx(score[i], abs=1e-9) and r["n_grams"] == len(grams[i]) for i, r in found.items())
+
+
 def test_best_cut():
     assert quality.best_cut(np.array([1.0, 2, 3, 4]), np.array([False, False, True, True])) == 2.5
     assert quality.best_cut(np.array([1.0, 2]), np.array([True, True])) == float("-inf")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from portico.llm import mixing, packing, quality
+from portico.llm import exact_dedup, jaccard_join, mixing, packing, quality
 
 from .test_operators import WORD, brute_components, brute_sets, brute_targets, corpus, docs_of, labelled, lower
 
@@ -71,6 +71,46 @@ def test_stages(spark, folder):
     assert max(loads.values()) <= 1024
 
 
+def test_rows_follow_their_own_verdicts(spark):
+    """Repeated and null ids, and extra columns named as the operators name theirs."""
+    names = ["doc_id", "text", "source", "row", "maybe", "own", "key", "component", "name", "_dropped", "_copies", "_id", "slots", "norm", "rank"]
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(9, "Same", "s"), (5, "same", "s"), (5, "unique text", "t"), (5, "unique text", "t"), (7, a, "s"), (7, b, "t"), (3, a + " more", "s"), (8, b + " z", None), (4, c, "t"), (None, a, "s"), (None, None, None), (6, None, "s"), (1, "", "s"), (11, " \n", "s"), (12, a.upper(), "s")]
+    docs = spark.createDataFrame([(*r, *[k] * (len(names) - 3)) for k, r in enumerate(rows)], ", ".join(f"{n} {t}" for n, t in zip(names, ["long", "string", "string"] + ["long"] * 12, strict=True))).repartition(3)
+    of = lambda df: sorted(((r["doc_id"], r["text"], r["source"]) for r in df.collect()), key=str)
+
+    unique = exact_dedup.kept_documents(docs)
+    best = {}
+    for r in rows:
+        order = (r[0] is not None, r[0] or 0, r[1] or "")
+        best[lower(r[1])] = max(best.get(lower(r[1]), (order, r)), (order, r), key=lambda x: x[0])
+    assert unique.columns == names
+    assert of(unique) == sorted((r for _, r in best.values()), key=str)
+
+    apart = jaccard_join.first_of_each(docs)
+    assert apart.columns == names
+    want = [r for r in rows if r[0] is None or not WORD.findall(r[1] or "")]
+    real = sorted({r for r in rows if r[0] is not None and WORD.findall(r[1] or "")}, key=lambda r: (r[0], r[1]))
+    component = brute_components(brute_sets([(k, *r[1:]) for k, r in enumerate(real)]))
+    assert of(apart) == sorted(want + [real[k] for k in sorted(set(component.values()))], key=str)
+
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == names
+    assert max(Counter(of(mixed)).values()) <= 2 * max(Counter(rows).values())
+    taken = Counter()
+    for r in mixing.mix_sources(docs).collect():
+        taken[r["doc_id"], r["source"]] += r["copies"]
+    assert Counter((i, s) for i, _, s in of(mixed)) == +taken
+
+    labels = spark.createDataFrame([(4, 1), (7, 0)], "doc_id long, quality int")
+    good = quality.good_documents(docs, labels)
+    assert good.columns == names
+    kept = sorted((str(r["doc_id"]), r["score"]) for r in quality.quality_scores(docs, labels).where("kept").collect())
+    assert sorted(str(r[0]) for r in of(good)) == [i for i, _ in kept]
+    for stage in (exact_dedup.kept_documents, jaccard_join.first_of_each, mixing.mixed_documents, lambda d: quality.good_documents(d, labels)):
+        assert stage(docs.limit(0)).count() == 0
+
+
 def test_run_applies_all_stages(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
