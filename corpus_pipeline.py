@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from portico.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from portico.llm.common import stored, table
+from portico.llm.common import discard, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs)
+            if k:
+                discard(before)
     return docs
