@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of packed records that a task holds before it hands them on.
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 16 << 20
+#: Bytes of an Arrow batch between Spark and its Python workers. Texts can be long, and either side holds a few batches.
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -63,6 +65,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, unless it sets a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's default
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -108,13 +117,27 @@ def bucketed_blobs(kind: int, key: np.ndarray, columns: list[np.ndarray], bucket
     return [(int(bucket[a]), kind, columns_to_blob([c[a:b] for c in columns])) for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(bucket)], strict=True)]
 
 
-def gather_blobs(batches: Iterator[pa.RecordBatch], types: dict[int, list[str]]) -> dict[int, list[np.ndarray]]:
-    """The records of each kind in this partition, column by column."""
+def gather_blobs(batches: Iterator[pa.RecordBatch], types: dict[int, list[str]]) -> Iterator[dict[int, list[np.ndarray]]]:
+    """The records of each kind, column by column, one bucket at a time; the partition is sorted by bucket."""
     found: dict[int, list[list[np.ndarray]]] = {k: [] for k in types}
+    now = None
+
+    def columns():
+        return {k: [np.concatenate([f[i] for f in found[k]]) if found[k] else np.zeros(0, t) for i, t in enumerate(types[k])] for k in types}
+
     for batch in batches:
-        for kind, blob in zip(batch["kind"].to_pylist(), batch["blob"].to_pylist(), strict=True):
-            found[kind].append(blob_to_columns(blob, types[kind]))
-    return {k: [np.concatenate([f[i] for f in found[k]]) if found[k] else np.zeros(0, t) for i, t in enumerate(types[k])] for k in types}
+        for bucket, kind, blob in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["blob"], strict=True):
+            if bucket != now and any(found.values()):
+                yield columns()
+                found = {k: [] for k in types}
+            now = bucket
+            found[kind].append(blob_to_columns(blob.as_py(), types[kind]))
+    if any(found.values()):
+        yield columns()
+
+
+def by_bucket(blobs: DataFrame) -> DataFrame:
+    return blobs.repartition(parallelism(blobs.sparkSession), "bucket").sortWithinPartitions("bucket")
 
 
 # -- Bloom filter over ids ----------------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, components, counted, discard, gather_blobs, id_filter, in_filter, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, components, counted, discard, gather_blobs, id_filter, in_filter, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
@@ -193,26 +193,26 @@ def _index_rows(frequent):
             yield pa.record_batch([pa.array(np.full(m, kind, np.int32)), of(doc, pa.int64()), of(name, pa.int64()), of(n, pa.int32()), of(shingle, pa.int64()), of(pos, pa.int32()), binary], names=["kind", "doc_id", "name", "n", "shingle", "pos", "sign"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = gather_blobs(batches, ENTRY)
-        doc, name, n = found[0]
-        yield from rows(0, doc, name, n, None, None)
-        name, sign = found[2]
-        _, own = np.unique(name, return_index=True)
-        yield from rows(2, None, name[own], None, None, None, sign[own])
-        key, name, n, pos = found[1]
-        if not len(key):
-            return
-        order = np.lexsort((name, key))
-        key, name, n, pos = key[order], name[order], n[order], pos[order]
-        own = np.ones(len(key), bool)
-        own[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-        key, name, n, pos = key[own], name[own], n[own], pos[own]
-        same = key[1:] == key[:-1]
-        keep = np.zeros(len(key), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        keep |= tiers_of(frequent.value, key) > 0
-        yield from rows(1, None, name[keep], n[keep], key[keep].view(np.int64), pos[keep])
+        for found in gather_blobs(batches, ENTRY):
+            doc, name, n = found[0]
+            yield from rows(0, doc, name, n, None, None)
+            name, sign = found[2]
+            _, own = np.unique(name, return_index=True)
+            yield from rows(2, None, name[own], None, None, None, sign[own])
+            key, name, n, pos = found[1]
+            if not len(key):
+                continue
+            order = np.lexsort((name, key))
+            key, name, n, pos = key[order], name[order], n[order], pos[order]
+            own = np.ones(len(key), bool)
+            own[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+            key, name, n, pos = key[own], name[own], n[own], pos[own]
+            same = key[1:] == key[:-1]
+            keep = np.zeros(len(key), bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            keep |= tiers_of(frequent.value, key) > 0
+            yield from rows(1, None, name[keep], n[keep], key[keep].view(np.int64), pos[keep])
 
     return run
 
@@ -385,10 +385,11 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
         self.docs, self.words, self.percent, self.spark = docs, words, percent, docs.sparkSession
+        bounded_batches(self.spark)
         buckets = 4 * parallelism(self.spark)
         frequent = self.spark.sparkContext.broadcast(frequent_shingles(docs, words))
         blobs = docs.select("doc_id", "text").mapInArrow(_index_blobs(frequent, words, percent, buckets), BLOB_SCHEMA)
-        rows = stored(blobs.repartition(parallelism(self.spark), "bucket").mapInArrow(_index_rows(frequent), INDEX_SCHEMA))
+        rows = stored(by_bucket(blobs).mapInArrow(_index_rows(frequent), INDEX_SCHEMA))
         frequent.unpersist()
         self.members = rows.where("kind = 0").select("doc_id", "name", "n")
         self.entries = rows.where("kind = 1").select("shingle", "name", "n", "pos")

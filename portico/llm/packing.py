@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
 
 CAPACITY = 1024
 END = 0
@@ -185,6 +186,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     Null text counts as empty (one END). Null and repeated ids: each row is a document of its own, told apart by
     its pieces' sequences only. Empty table: no rows.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(_pack(tokenizer or tokenizer_path(), capacity), SCHEMA)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import stored, whole_rows
+from .common import bounded_batches, stored, whole_rows
 from .hashing import blocks, text_buffer
 from .thresholds import hash_rank, thresholds
 from .tokens import style_grams
@@ -93,6 +93,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
 def _judged(rows: DataFrame, labels: DataFrame, buckets: int, labelled: int, length: float) -> DataFrame:
     """The rows (doc_id, text, and what else is to be carried) with log_ratio, score, n_grams and kept instead of the text."""
     spark = rows.sparkSession
+    bounded_batches(spark)
     carried = [f for f in rows.schema.fields if f.name != "text"]
     use = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality").withColumn("r", hash_rank(F.col("doc_id"))).orderBy("r", "doc_id").limit(labelled)
     known = {r["doc_id"]: r["quality"] for r in use.collect()}

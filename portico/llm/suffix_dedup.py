@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bucketed_blobs, gather_blobs, id_filter, in_filter, parallelism, stored, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, gather_blobs, id_filter, in_filter, parallelism, stored, with_slot
 from .hashing import blocks, span_hashes, text_buffer, window_hashes
 
 WIDTH = 100
@@ -134,20 +134,20 @@ def span_key(doc: np.ndarray) -> np.ndarray:
 
 def _dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: runs of starts that are repeats. Kind 1: first places of phrases whose trigger other phrases share."""
-    found = gather_blobs(batches, {0: ["<i8", "<i4", "<i4"], 1: PHRASE})
-    yield from _runs(0, *found[0])
-    th, ph, doc, lo, more = found[1]
-    if not len(th):
-        return
-    order, begin, later = _firsts([th, ph], doc, lo)
-    th, doc, lo, hi = th[order], doc[order], lo[order], lo[order].astype(np.int64) + more[order]
-    yield from _runs(0, *_joined(doc[later], lo[later], hi[later]))
-    th, doc, lo, hi = th[begin], doc[begin], lo[begin], hi[begin]
-    same = th[1:] == th[:-1]
-    shared = np.zeros(len(th), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    yield from _runs(1, *_joined(doc[shared], lo[shared], hi[shared]))
+    for found in gather_blobs(batches, {0: ["<i8", "<i4", "<i4"], 1: PHRASE}):
+        yield from _runs(0, *found[0])
+        th, ph, doc, lo, more = found[1]
+        if not len(th):
+            continue
+        order, begin, later = _firsts([th, ph], doc, lo)
+        th, doc, lo, hi = th[order], doc[order], lo[order], lo[order].astype(np.int64) + more[order]
+        yield from _runs(0, *_joined(doc[later], lo[later], hi[later]))
+        th, doc, lo, hi = th[begin], doc[begin], lo[begin], hi[begin]
+        same = th[1:] == th[:-1]
+        shared = np.zeros(len(th), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        yield from _runs(1, *_joined(doc[shared], lo[shared], hi[shared]))
 
 
 def _string_blobs(bits, width: int, buckets: int):
@@ -181,12 +181,12 @@ def _string_blobs(bits, width: int, buckets: int):
 
 
 def _corpus_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = gather_blobs(batches, {0: ["<i8", "<i4", "<i4"], 1: STRING})
-    yield from _runs(0, *found[0])
-    h, doc, pos = found[1]
-    if len(h):
-        order, _, later = _firsts([h], doc, pos)
-        yield from _runs(0, *_joined(doc[order][later], pos[order][later], pos[order][later]))
+    for found in gather_blobs(batches, {0: ["<i8", "<i4", "<i4"], 1: STRING}):
+        yield from _runs(0, *found[0])
+        h, doc, pos = found[1]
+        if len(h):
+            order, _, later = _firsts([h], doc, pos)
+            yield from _runs(0, *_joined(doc[order][later], pos[order][later], pos[order][later]))
 
 
 def _filtered(bits):
@@ -230,14 +230,15 @@ def _by_document(runs: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, width: int = WIDTH, trigger: int = TRIGGER) -> DataFrame:
     """(doc_id, lo, hi): runs of byte offsets at which a `width`-byte string starts that also starts earlier."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     n = parallelism(spark)
     blobs = docs.mapInArrow(_phrase_blobs(width, trigger, 4 * n), BLOB_SCHEMA)
-    first = stored(blobs.repartition(n, "bucket").mapInArrow(_dictionary, RUN_SCHEMA))
+    first = stored(by_bucket(blobs).mapInArrow(_dictionary, RUN_SCHEMA))
     shared = first.where("kind = 1").select("doc_id", "lo", "hi")
     bits = spark.sparkContext.broadcast(id_filter(shared, "doc_id"))
     texts = with_slot(docs, "doc_id", "slot").mapInArrow(_filtered(bits), "doc_id long, text string")
     strings = texts.join(_by_document(shared), "doc_id").select("doc_id", "text", "runs").mapInArrow(_string_blobs(bits, width, 4 * n), BLOB_SCHEMA)
-    second = stored(strings.repartition(n, "bucket").mapInArrow(_corpus_order, RUN_SCHEMA))
+    second = stored(by_bucket(strings).mapInArrow(_corpus_order, RUN_SCHEMA))
     return first.where("kind = 0").unionByName(second).select("doc_id", "lo", "hi")
 
 
