@@ -11,6 +11,8 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     Of equal optima the one that scanning columns from left finds is taken.
     """
     rows, columns = cost.shape
+    if rows == columns == 1:
+        return [(0, 0)]
     if rows > columns:
         return sorted((r, c) for c, r in assign(cost.T))
     row_price, column_price = np.zeros(rows), np.zeros(columns)

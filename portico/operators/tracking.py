@@ -1,7 +1,9 @@
-"""Multi-object tracking of one camera's detections, and its Spark form: one group for each device and batch.
+"""Multi-object tracking of one camera's detections, and its Spark form.
 
 The tracker keeps all live tracks as stacked arrays, and costs of a frame are one array operation over tracks and
-detections. It is sequential for a device and parallel over devices; a group's detections are in memory.
+detections. It is sequential only while tracks live: where a camera sees nothing for longer than any track may
+wait, its history falls into stretches that know nothing of each other. Stretches are tracked in parallel, in groups of
+neighbours; only one stretch's detections need to be in memory together.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from .assignment import assign
 
@@ -29,6 +32,11 @@ ENDPOINT, LEAST_BOX, FAR, TIE = 4, 1e-3, 1e6, 1e-12
 RESCUE = {"position": 0.65, "direction": 0.15, "box": 0.10, "gap": 0.05, "confidence": 0.05, "gate": 16.0, "ratio": (0.25, 4.0), "soft": 2.0, "history": 0.08, "step": 0.06, "most": 0.18}
 LINK = {"position": 0.55, "direction": 0.15, "speed": 0.10, "box": 0.10, "gap": 0.10, "ratio": (0.4, 2.5), "soft": 1.75, "birth": 0.06, "death": 0.06, "active": 0.04, "weak": 0.05}
 
+#: No track lives on, and no two fragments are linked, over a longer time without frames.
+QUIET_SECONDS = max(TENTATIVE_SECONDS, ACTIVE_SECONDS, RESCUE_SECONDS, LINK_SECONDS)
+#: Stretches of a device that are handed to a Python worker at once.
+STRETCHES = 64
+
 #: Columns of an observation.
 T, X, Y, X1, Y1, X2, Y2, CONF = range(8)
 
@@ -317,20 +325,31 @@ def linked(parts: list[Fragment], begin: float, end: float) -> list[Fragment]:
     return parts
 
 
+def in_order(detections: pd.DataFrame) -> pd.DataFrame:
+    """Frames by time and id, a frame's detections by id as text."""
+    d = detections.assign(_f=detections["frame_id"].astype(str), _d=detections["detection_id"].astype(str)).sort_values(["timestamp", "_f", "_d"], kind="stable")
+    if not np.isfinite(d["timestamp"].to_numpy(float)).all():
+        raise ValueError("frame times must be finite")
+    return d
+
+
 def track(detections: pd.DataFrame) -> list[Fragment]:
     """Established tracks of one batch: columns frame_id, timestamp, detection_id, x1, y1, x2, y2, cx, cy, confidence.
 
     Frames go by time and id, a frame's detections by id as text. A row without a detection_id stands for an empty frame.
     """
-    d = detections.assign(_f=detections["frame_id"].astype(str), _d=detections["detection_id"].astype(str)).sort_values(["timestamp", "_f", "_d"], kind="stable")
-    if not np.isfinite(d["timestamp"].to_numpy(float)).all():
-        raise ValueError("frame times must be finite")
+    d = in_order(detections)
+    return stretch(d, 0, float(d["timestamp"].iloc[0]), float(d["timestamp"].iloc[-1]))[0] if len(d) else []
+
+
+def stretch(d: pd.DataFrame, before: int, begin: float, end: float) -> tuple[list[Fragment], int]:
+    """Established tracks of ordered detections, and how many fragments were born; `before` frames of the batch, which lasts from `begin` to `end`, lie further back."""
     live: list[Fragment] = []
     every: list[Fragment] = []
     times, frames, real = d["timestamp"].to_numpy(float), d["_f"].to_numpy(object), d["detection_id"].notna().to_numpy()
     values = d[["timestamp", "cx", "cy", "x1", "y1", "x2", "y2", "confidence"]].to_numpy(float)
     cuts = np.flatnonzero((times[1:] != times[:-1]) | (frames[1:] != frames[:-1])) + 1
-    for index, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(d)], strict=True) if len(d) else ()):
+    for index, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(d)], strict=True), before):
         now, frame, obs = times[a], frames[a], values[a:b][real[a:b]]
         high, low = obs[obs[:, CONF] >= HIGH], obs[(obs[:, CONF] >= LOW) & (obs[:, CONF] < HIGH)]
         live = [f for f in live if now - f.seen <= (ACTIVE_SECONDS if f.active else TENTATIVE_SECONDS)]
@@ -360,8 +379,8 @@ def track(detections: pd.DataFrame) -> list[Fragment]:
                 fresh = born(high[j], frame, len(every) + 1, BOOTSTRAP_HITS if index < BOOTSTRAP_FRAMES else LATER_HITS)
                 every.append(fresh)
                 live.append(fresh)
-    done = linked(every, float(d["timestamp"].iloc[0]), float(d["timestamp"].iloc[-1])) if len(d) else []
-    return [f for f in done if f.active]
+    done = linked(every, begin, end) if len(every) > 1 else every
+    return [f for f in done if f.active], len(every)
 
 
 BOX = "struct<x1:double,y1:double,x2:double,y2:double>"
@@ -369,14 +388,39 @@ SCHEMA = f"track_id string, path array<struct<timestamp:double,centre:struct<x:d
 
 
 def track_devices(detections: DataFrame, by: str = "device_id") -> DataFrame:
-    """Tracks of each device: `by`, track_id, path, best_crop, best_crop_confidence. Ids start at 1 for each device."""
+    """Tracks of each device: `by`, track_id, path, best_crop, best_crop_confidence. Ids start at 1 for each device.
+
+    A device's frames are numbered, and cut into stretches at each gap of more than QUIET_SECONDS. Ids count the fragments
+    born in all earlier stretches.
+    """
+    frame = Window.partitionBy(by).orderBy("timestamp", F.coalesce(F.col("frame_id").cast("string"), F.lit("None")))
+    gap = F.col("timestamp") - F.lag("timestamp").over(frame) > QUIET_SECONDS
+    d = detections.withColumn("_frame", F.dense_rank().over(frame) - 1).withColumn("_new", F.coalesce(gap, F.lit(False)).cast("long"))
+    whole = Window.partitionBy(by)
+    d = d.withColumn("_begin", F.min("timestamp").over(whole)).withColumn("_end", F.max("timestamp").over(whole))
+    d = d.withColumn("_stretch", F.sum("_new").over(frame)).withColumn("_group", F.floor(F.col("_stretch") / STRETCHES))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for f in track(pdf):
-            path = [{"timestamp": float(o[T]), "centre": {"x": float(o[X]), "y": float(o[Y])}} for o in f.obs]
-            box = {"x1": float(f.best[X1]), "y1": float(f.best[Y1]), "x2": float(f.best[X2]), "y2": float(f.best[Y2])}
-            rows.append((key[0], str(f.order), path, {"frame_id": f.best_frame, "bbox": box}, float(f.best[CONF])))
-        return pd.DataFrame(rows, columns=[by, "track_id", "path", "best_crop", "best_crop_confidence"])
-
-    return detections.groupBy(by).applyInPandas(run, f"`{by}` {dict(detections.dtypes)[by]}, {SCHEMA}")
+        pdf = in_order(pdf)
+        part = pdf["_stretch"].to_numpy()
+        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(pdf)], strict=True):
+            own = pdf.iloc[a:b]
+            found, born_here = stretch(own, int(own["_frame"].iloc[0]), float(own["_begin"].iloc[0]), float(own["_end"].iloc[0]))
+            rows.append((key[0], int(part[a]), born_here, None, None, None, None))
+            for f in found:
+                path = [{"timestamp": float(o[T]), "centre": {"x": float(o[X]), "y": float(o[Y])}} for o in f.obs]
+                box = {"x1": float(f.best[X1]), "y1": float(f.best[Y1]), "x2": float(f.best[X2]), "y2": float(f.best[Y2])}
+                rows.append((key[0], int(part[a]), 0, f.order, path, {"frame_id": f.best_frame, "bbox": box}, float(f.best[CONF])))
+        out = pd.DataFrame(rows, columns=[by, "_stretch", "_born", "_order", "path", "best_crop", "best_crop_confidence"])
+        return out.astype({"_order": "Int64"})
+
+    kind = dict(detections.dtypes)[by]
+    columns = f"`{by}` {kind}, _stretch long, _born long, _order long, {SCHEMA.removeprefix('track_id string, ')}"
+    # few bytes but much work: by number, so that the groups are not put together in a few tasks
+    dealt = d.repartition(int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions")), by, "_group")
+    found = dealt.groupBy(by, "_group").applyInPandas(run, columns)
+    earlier = Window.partitionBy(by).orderBy("_stretch").rangeBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("track_id", (F.col("_order") + F.coalesce(F.sum("_born").over(earlier), F.lit(0))).cast("string"))
+    return found.where("_order is not null").select(by, "track_id", "path", "best_crop", "best_crop_confidence")

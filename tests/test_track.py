@@ -4,7 +4,9 @@ import datetime
 import itertools
 
 import numpy as np
+import pandas as pd
 
+from portico.operators import tracking
 from portico.plans import registry
 
 START = datetime.datetime(2024, 1, 5, 8)
@@ -80,3 +82,23 @@ def test_track_query_tracks_every_event(spark, tmp_path):
         first = r["path"][0]
         assert (r["n_points"], r["confidence"], r["best_crop"]["frame_id"]) == (len(r["path"]), 0.9, f"{first['timestamp']:.1f}")
         assert (r["best_crop"]["bbox"]["x1"], r["best_crop"]["bbox"]["y2"]) == (first["centre"]["x"] - 10, first["centre"]["y"] + 20)
+
+
+def test_stretches_give_the_tracks_of_the_whole_batch(spark):
+    """Cut at quiet times and tracked apart, a device's history gives the same tracks and ids as in one go."""
+    r = np.random.default_rng(4)
+    rows, t = [], 100.0
+    for block in range(40):
+        t += float(r.choice([0.6, 2.4, 2.6, 40.0]))
+        starts = r.uniform(0, 60, size=(int(r.integers(1, 4)), 2))
+        for k in range(int(r.integers(2, 14))):
+            for w, (x, y) in enumerate(starts):
+                if r.random() < 0.85:
+                    cx, cy = x + 4 * k + r.normal(), y + 2 * k + r.normal()
+                    rows.append(("d", round(t + k / 5, 3), f"{t + k / 5:.3f}", f"{block}:{w}:{k}", cx, cy, cx - 10, cy - 20, cx + 10, cy + 20, float(r.choice([0.3, 0.9]))))
+        t += 14 / 5
+    frame = pd.DataFrame(rows, columns=["device_id", "timestamp", "frame_id", "detection_id", "cx", "cy", "x1", "y1", "x2", "y2", "confidence"])
+    want = {str(f.order): [(float(o[tracking.T]), float(o[tracking.X])) for o in f.obs] for f in tracking.track(frame)}
+    found = tracking.track_devices(spark.createDataFrame(frame).repartition(3)).collect()
+    assert {x["track_id"]: [(p["timestamp"], p["centre"]["x"]) for p in x["path"]] for x in found} == want
+    assert len(want) > 20
