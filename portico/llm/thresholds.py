@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import discard, stored
+
 #: A rank is a whole number of 60 bits, read 12 bits at a time.
 LEVEL_BITS, LEVELS = 12, 5
 
@@ -21,7 +23,7 @@ def thresholds(rows: DataFrame, group: str, rank: str, weight: str, budgets: Dat
     with which the budget would be passed. Where all rows fit, the bound is 2^60 and at_bound 0. Groups are
     matched null-safely; budgets below 0 count as 0. Each of the five levels sums the weights by group and 12
     bits (partial sums first) over the rows of the boundary bucket alone, and finds the next boundary in at most
-    4096 sums of a group, so that no group is ever gathered or sorted.
+    4096 sums of a group, so that no group is ever gathered or sorted. The state between levels is written.
     """
     state = budgets.select(F.col(group).alias("_g"), F.greatest(F.col(budget).cast("double"), F.lit(0.0)).alias("_left"), F.lit(0).cast("long").alias("_prefix"), F.lit(0).cast("long").alias("_below"), F.lit(False).alias("_done"))
     at = F.lit(0).cast("long")
@@ -49,6 +51,8 @@ def thresholds(rows: DataFrame, group: str, rank: str, weight: str, budgets: Dat
             (F.col("_done") | ~found).alias("_done"),
             F.when(found, at).otherwise(F.lit(0)).cast("long").alias("_at"),
         )
-        if level < LEVELS - 1:
-            state = state.drop("_at")
+        state = stored(state if level == LEVELS - 1 else state.drop("_at"))  # one row for each group; else each level would compute all earlier ones again
+        if level:
+            discard(last)
+        last = state
     return state.select(F.col("_g").alias(group), F.when(F.col("_done"), F.lit(1 << 60)).otherwise(F.col("_prefix")).cast("long").alias("bound"), F.col("_below").alias("below"), F.col("_at").alias("at_bound"))
