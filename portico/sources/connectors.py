@@ -35,8 +35,10 @@ def select_frames(objects: DataFrame, start: Column, end: Column, name: str = "p
 
 
 def decoded_frames(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded images of a folder (BGR bytes with height, width, channels); undecodable ones are dropped by Spark, so counts can be compared."""
-    return spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "true").load(folder).select("image.*")
+    """Decoded images of a folder (BGR bytes with height, width, channels). One that cannot be decoded is an error."""
+    found = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(folder).select("image.*")
+    broken = F.raise_error(F.concat(F.lit("not an image: "), F.coalesce("origin", F.lit("?")))).cast("int")
+    return found.withColumn("height", F.when(F.col("height") > 0, F.col("height")).otherwise(broken))
 
 
 def database(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
@@ -54,14 +56,17 @@ def missing_rows(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
     return wanted.select(key).join(present.select(key), key, "left_anti")
 
 
-def parse_destination(value: Column) -> Column:
-    """`project.dataset.table` from itself or from a console address whose `ws` names `!1s..!2s..!3s..`; else null."""
-    part = r"[A-Za-z0-9_-]+"
+def parse_destination(value: Column, strict: bool = False) -> Column:
+    """`project.dataset.table` from itself or from a console address whose `ws` names `1s..!2s..!3s..`; else null, or an error if `strict`.
+
+    Fixed values: a project is of letters, digits, `_` and `-`; a dataset and a table of letters, digits and `_`.
+    """
+    project, name = r"[A-Za-z0-9_-]+", r"[A-Za-z0-9_]+"
     ws = F.try_url_decode(F.regexp_extract(value, r"[?&]ws=([^&#]*)", 1))
-    path = rf"!1s({part})!2s({part})!3s({part})"
-    path = rf"(?:^|!)1s([^!]+)!2s([^!]+)!3s([^!]+)"
+    path = rf"(?:^|!)1s({project})!2s({name})!3s({name})(?:!|$)"
     from_link = F.concat_ws(".", *[F.regexp_extract(ws, path, k) for k in (1, 2, 3)])
-    return F.when(value.rlike(rf"^{part}\.{part}\.{part}$"), value).when(ws.rlike(path), from_link)
+    wrong = F.raise_error(F.concat(F.lit("not a destination: "), F.coalesce(value, F.lit("null")))) if strict else F.lit(None).cast("string")
+    return F.when(value.rlike(rf"^{project}\.{name}\.{name}$"), value).when(ws.rlike(path), from_link).otherwise(wrong)
 
 
 def append_new(rows: DataFrame, path: str, key: str = "event_id") -> int:

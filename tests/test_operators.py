@@ -361,3 +361,20 @@ def test_payload(spark):
     org = payload(events_of(spark, rows), sites, axes, now, organisation=True).collect()
     assert len(org) == 1
     assert org[0]["last_24h"][95]["exits"] == 1
+
+
+def test_destinations(spark):
+    good = {"p-1.d_a.t": "p-1.d_a.t", "https://c.example/x?p=1&ws=%211m5%211s" + "pr-o%212sda%213stab": "pr-o.da.tab", "https://c.example/x?ws=1sp%212sd%213st%211m1#f": "p.d.t"}
+    bad = ["p.d-a.t", "p.d", "https://c.example/x?ws=%211sp%212sd-a%213st", "https://c.example/x", "", "p.d.t.u"]
+    df = spark.createDataFrame([(v,) for v in [*good, *bad]], "v string")
+    found = {r[0]: r[1] for r in df.select("v", connectors.parse_destination(F.col("v"))).collect()}
+    assert found == good | dict.fromkeys(bad)
+    strict = df.select(connectors.parse_destination(F.col("v"), strict=True).alias("d"))
+    with pytest.raises(Exception, match="not a destination"):
+        strict.collect()
+
+
+def test_undecodable_frames(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(b"no image")
+    with pytest.raises(Exception, match="not an image"):
+        connectors.decoded_frames(spark, str(tmp_path)).collect()
