@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -496,7 +497,8 @@ def test_block_max_search_is_exact():
     x = r.random((500, 40)) * (r.random((500, 40)) < 0.1)
     x = x[x.sum(axis=1) > 0]
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    index = toxicity.Index(np.arange(40, dtype=np.uint64), np.ones(40), np.arange(len(x)), np.zeros(len(x)), x)
+    example, term = np.nonzero(x)
+    index = toxicity.Index(40, np.arange(len(x)), np.zeros(len(x)), example, term, x[example, term])
     for q in x[:100]:
         at = np.flatnonzero(q)
         hit, cos = index.nearest(at, q[at], 7)
@@ -504,3 +506,86 @@ def test_block_max_search_is_exact():
         want = sorted(((-round(c, 12), i) for i, c in enumerate(all_) if c > 0))[:7]
         assert [int(index.ids[h]) for h in hit] == [i for _, i in want]
         assert np.allclose(cos, [-c for c, _ in want])
+
+
+def plain_toxicity(texts, told, chance=1.0, k=16):
+    """Scores from dictionaries and full sorts, by the rules that `toxicity` states."""
+    bags = {i: Counter(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", lower(t))) for i, t in texts.items()}
+    df = Counter(w for b in bags.values() for w in b)
+    idf = {w: math.log((len(texts) + 1) / d) for w, d in df.items()}
+    known = {i: y for i, y in told.items() if i in texts and zlib.crc32(str(i).encode()) % 5}
+    n, pos = len(known), sum(known.values())
+    here, toxic = Counter(w for i in known for w in bags[i]), Counter(w for i, y in known.items() if y for w in bags[i])
+    z = NormalDist().inv_cdf(min(chance / len(here), 1) / 2)
+
+    def g(w):
+        c, a, p = here[w], toxic[w], pos / n
+        cells = [(a, c * p), (c - a, c * (1 - p)), (pos - a, (n - c) * p), (n - c - pos + a, (n - c) * (1 - p))]
+        return 2 * sum(o * math.log(o / e) for o, e in cells if o > 0)
+
+    kept = {w for w in here if g(w) > z * z}
+
+    def vector(i):
+        v = {w: (1 + math.log(m)) * idf[w] for w, m in bags[i].items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items() if w in kept} if norm else {}
+
+    unit = {i: vector(i) for i in texts}
+
+    def vote(i, without=None):
+        near = [(sum(x * unit[j].get(w, 0) for w, x in unit[i].items()), j) for j in known if j != without]
+        near = sorted(((-round(c, 12), j) for c, j in near if c > 0))[:k]
+        weights = [1 / max(1 + c, 0.05) for c, _ in near]
+        return sum(w * known[j] for w, (_, j) in zip(weights, near, strict=True)) / sum(weights) if near else None
+
+    asked = {i: vote(i, i) for i in known}
+    alone = [known[i] for i, v in asked.items() if v is None]
+    x, y = toxicity.calibration(np.array([v for v in asked.values() if v is not None]), np.array([float(known[i]) for i, v in asked.items() if v is not None]))
+
+    def score(i):
+        v = vote(i)
+        if v is None:
+            return sum(alone) / len(alone) if alone else pos / n
+        return float(y[max(int(np.searchsorted(x, v + 1e-9, side="right")) - 1, 0)])
+
+    return kept, {i: score(i) for i in texts}
+
+
+def test_toxicity_against_a_plain_version(spark):
+    df, labels = labelled(spark, 200)
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    told = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    kept, want = plain_toxicity(texts, told)
+    found = {r["doc_id"]: r["score"] for r in toxicity.toxicity(df.repartition(5), labels).collect()}
+    assert {"vile", "nasty", "awful"} <= kept
+    assert set(found) == set(want)
+    off = [i for i in want if abs(want[i] - found[i]) > 1e-6]
+    assert not off, [(i, want[i], found[i]) for i in off[:5]]
+
+
+def test_toxicity_indexes_every_telling_word(spark):
+    """A lexicon of 700 words is found as a whole: no bound on the number of terms."""
+    r = random.Random(3)
+    plain, rude = [f"w{i}" for i in range(400)], [f"rude{i}" for i in range(700)]
+    rows, labels = [], []
+    for i in range(1500):
+        words = [r.choice(plain) for _ in range(30)]
+        if i % 3 == 0:
+            words += r.sample(rude, 40)
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, 0, int(i % 3 == 0)))
+    model = toxicity.fit(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len(model.words.names) >= 690
+    few = np.array([toxicity.word_hashes(*text_buffer(pa.array([" ".join(plain[:300] + ["rude699"])])))[0]][0])
+    term, n = np.unique(few, return_counts=True)
+    at, w = model.words.weigh(term, n)
+    assert (w * w).sum() < 0.2
+
+
+def test_toxicity_odd_tables(spark):
+    """One label alone, ids that repeat with other texts, labels of documents that are not there, a very long text."""
+    df, labels = labelled(spark, 60)
+    one = labels.selectExpr("doc_id", "quality", "1 as toxic")
+    assert {r["score"] for r in toxicity.toxicity(df, one).collect()} == {1.0}
+    odd = docs_of(spark, [(7, "nasty " * 100_000, None), (7, "plain", None), (7, None, None), (None, None, None)])
+    assert {r["score"] for r in toxicity.toxicity(odd, spark.createDataFrame([(7, 0, 1), (999, 0, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")).collect()} == {1.0}
