@@ -508,7 +508,7 @@ def test_block_max_search_is_exact():
         assert np.allclose(cos, [-c for c, _ in want])
 
 
-def plain_toxicity(texts, told, chance=1.0, k=16):
+def plain_toxicity(texts, told, chance=0.001, k=16):
     """Scores from dictionaries and full sorts, by the rules that `toxicity` states."""
     bags = {i: Counter(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", lower(t))) for i, t in texts.items()}
     df = Counter(w for b in bags.values() for w in b)
@@ -535,8 +535,8 @@ def plain_toxicity(texts, told, chance=1.0, k=16):
     def vote(i, without=None):
         near = [(sum(x * unit[j].get(w, 0) for w, x in unit[i].items()), j) for j in known if j != without]
         near = sorted(((-round(c, 12), j) for c, j in near if c > 0))[:k]
-        weights = [1 / max(1 + c, 0.05) for c, _ in near]
-        return sum(w * known[j] for w, (_, j) in zip(weights, near, strict=True)) / sum(weights) if near else None
+        weights = [1 / max(1 + c, 0.05) - 1 for c, _ in near]
+        return (sum(w * known[j] for w, (_, j) in zip(weights, near, strict=True)) + 0.01 * pos / n) / (sum(weights) + 0.01) if near else None
 
     asked = {i: vote(i, i) for i in known}
     alone = [known[i] for i, v in asked.items() if v is None]
