@@ -88,8 +88,14 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", page_id: s
     return rows.join(best, ["host", "path"]).select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
+def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """Rules (host, path, verdict) as a table of literals: no Python worker is asked for them."""
+    literal = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), r, strict=True)]) for r in rules]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*literal)))
+
+
 def query(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    return filter_urls(pages, spark.createDataFrame(RULES, "host string, path string, verdict string"))
+    return filter_urls(pages, rule_table(spark, RULES))
 
 
 ORACLE = r"""

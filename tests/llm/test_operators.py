@@ -307,6 +307,7 @@ def test_url_filter(spark):
             want.append((str(k or None), host, path, str(best and best[2]), best[3] if best else "allow"))
         assert sorted((str(r[0]), r[1], r[2], str(r[3]), r[4]) for r in found) == sorted(want)
     assert url_rules.query(spark, df.limit(0)).count() == 0
+    assert [tuple(r) for r in url_rules.rule_table(spark, url_rules.RULES).collect()] == url_rules.RULES
 
 
 def test_license_scan(spark):
