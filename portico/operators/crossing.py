@@ -48,9 +48,22 @@ def best_crop(points: DataFrame, confidence: str = "confidence") -> DataFrame:
     return first_of(points, "track_id", F.col(confidence).desc(), F.col("pos"))
 
 
+#: Spans of time that frame times are dealt into; one row of each meets in one task.
+SPANS = 4096
+
+
 def frame_rate(times: DataFrame, time: str = "t") -> DataFrame:
-    """One over the median positive difference of successive times; an error without any."""
-    ordered = times.select(F.col(time).cast("double").alias("_t")).repartitionByRange("_t").sortWithinPartitions("_t")
-    gap = F.col("_t") - F.lag("_t").over(Window.orderBy("_t"))
+    """One over the median positive difference of successive times; an error without any.
+
+    Differences are taken within equal spans of the whole range; a span's first time looks back to the last one of the
+    spans before it.
+    """
+    at = times.select(F.col(time).cast("double").alias("_t")).where("_t is not null").distinct()
+    ends = at.agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    dealt = at.crossJoin(F.broadcast(ends)).select("_t", F.floor(F.coalesce((F.col("_t") - F.col("_first")) / F.nullif(F.col("_last") - F.col("_first"), F.lit(0.0)), F.lit(0.0)) * SPANS).alias("_span"))
+    within = F.col("_t") - F.lag("_t").over(Window.partitionBy("_span").orderBy("_t"))
+    spans = dealt.groupBy("_span").agg(F.min("_t").alias("_low"), F.max("_t").alias("_high"))
+    across = F.col("_low") - F.lag("_high").over(Window.orderBy("_span"))
+    gaps = dealt.select(within.alias("_g")).unionByName(spans.select(across.alias("_g")))
     median = F.median("_g")
-    return ordered.select(gap.alias("_g")).where("_g > 0").agg(F.when(median.isNull(), F.raise_error(F.lit("no two times differ")).cast("double")).otherwise(1 / median).alias("fps"))
+    return gaps.where("_g > 0").agg(F.when(median.isNull(), F.raise_error(F.lit("no two times differ")).cast("double")).otherwise(1 / median).alias("fps"))

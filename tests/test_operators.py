@@ -202,6 +202,11 @@ def test_crossings(spark):
     with pytest.raises(PySparkException, match="no length"):
         crossing.crossings(df, (5.0, 5.0), (5.0, 5.0)).collect()
     assert crossing.frame_rate(spark.createDataFrame([(0,), (2,), (4,), (4,), (9,)], "t int")).first()["fps"] == 0.5
+    uneven = sorted({round(k * 0.04 + (k % 7) * 0.003, 3) for k in range(6000)} | {1e6, 1e6 + 1})
+    gaps = sorted(b - x for x, b in zip(uneven, uneven[1:]))
+    want = (gaps[(len(gaps) - 1) // 2] + gaps[len(gaps) // 2]) / 2
+    got = crossing.frame_rate(spark.createDataFrame([(t,) for t in uneven[::-1]] + [(None,)], "t double").repartition(5)).first()["fps"]
+    assert abs(got * want - 1) < 1e-6
 
 
 def test_assembled_ids_are_stable_and_tell_repeats_apart(spark):
