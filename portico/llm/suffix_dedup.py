@@ -200,21 +200,38 @@ def _filtered(bits):
 
 
 def _cut(width: int):
+    """Runs stay in flat arrays: a batch can hold very many of them."""
+
+    def spans(lo, hi):
+        order = np.argsort(lo, kind="stable")
+        lo, hi = lo[order], np.maximum.accumulate(hi[order] + width)
+        begin = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]]) if len(lo) else order
+        return lo[begin], hi[np.r_[begin[1:], len(lo)] - 1] if len(lo) else hi
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, runs, text in zip(batch["doc_id"].to_pylist(), batch["runs"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                data = (text or "").encode()
-                spans: list[list[int]] = []
-                for lo, hi in sorted((r["lo"], r["hi"] + width) for r in runs or []):
-                    if spans and lo <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], hi)
-                    else:
-                        spans.append([lo, hi])
-                edges = [0, *[x for s in spans for x in s], len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                out.append((doc, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in spans]))
-            yield pa.RecordBatch.from_pylist([dict(zip(CUT_SCHEMA.names, o, strict=True)) for o in out], schema=CUT_SCHEMA)
+            data, offsets = text_buffer(batch["text"])
+            runs, none = batch["runs"], np.zeros(0, np.int64)
+            told = not pa.types.is_null(runs.type)
+            of = runs.offsets.to_numpy() if told else np.zeros(batch.num_rows + 1, np.int64)
+            lo, hi = ((runs.values.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("lo", "hi")) if told else (none, none))
+            for first, last, block, at in blocks(data, offsets):
+                size, gone, kept, starts, ends = [], [], [], [none], [none]
+                for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True), first):
+                    begin, end = spans(lo[of[k] : of[k + 1]], hi[of[k] : of[k + 1]])
+                    digest, left = hashlib.sha256(), a
+                    for x, y in zip((begin + a).tolist(), (end + a).tolist(), strict=True):
+                        digest.update(block[left:x])
+                        left = y
+                    digest.update(block[left:b])
+                    size.append(b - a)
+                    gone.append(int((end - begin).sum()))
+                    kept.append(digest.hexdigest())
+                    starts.append(begin)
+                    ends.append(end)
+                places = pa.array(np.cumsum([len(x) for x in starts]), pa.int32())
+                pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(starts)), pa.array(np.concatenate(ends))], ["start", "end"])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, last - first), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(x) for x in starts[1:]], pa.int64()), pa.array(kept, pa.string()), pa.ListArray.from_arrays(places, pairs)], schema=CUT_SCHEMA)
 
     return run
 
