@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, gather_blobs, id_filter, in_filter, parallelism, stored, with_slot
-from .hashing import blocks, span_hashes, text_buffer, window_hashes
+from .hashing import blocks, mix, span_hashes, text_buffer, window_hashes
 
 WIDTH = 100
 #: Bytes of a trigger string. Every WIDTH-byte string holds WIDTH - TRIGGER + 1 of them, of which the smallest rules.
@@ -108,7 +108,8 @@ def _phrase_blobs(width: int, trigger: int, buckets: int):
             d, a, b = _joined(doc[later], lo[later], lo[later].astype(np.int64) + more[later])
             out = bucketed_blobs(0, span_key(d), [d.astype("<i8"), a.astype("<i4"), b.astype("<i4")], buckets)
             cut = np.flatnonzero(begin)
-            out += bucketed_blobs(1, th[cut], [th[cut], ph[cut], doc[cut].astype("<i8"), lo[cut].astype("<i4"), more[cut].astype("<u1")], buckets)
+            # a trigger's hash is the least of many: mixed, or most phrases would fall into the first buckets
+            out += bucketed_blobs(1, mix(th[cut]), [th[cut], ph[cut], doc[cut].astype("<i8"), lo[cut].astype("<i4"), more[cut].astype("<u1")], buckets)
             return blob_batch(out)
 
         for batch in batches:

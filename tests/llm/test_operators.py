@@ -98,6 +98,17 @@ def test_suffix_dedup_repeated_ids(spark):
     assert sum(x[2] for x in found) > 400
 
 
+def test_suffix_dedup_deals_phrases_evenly():
+    """No bucket of packed phrases holds much more than its share."""
+    r = np.random.default_rng(0)
+    batch = pa.record_batch([pa.array(range(60), pa.int64()), pa.array(["".join(map(chr, r.integers(97, 123, 5000))) for _ in range(60)])], names=["doc_id", "text"])
+    size = Counter()
+    for out in suffix_dedup._phrase_blobs(100, 32, 64)(iter([batch])):
+        for kind, bucket, blob in zip(out["kind"].to_pylist(), out["bucket"].to_pylist(), out["blob"].to_pylist(), strict=True):
+            size[bucket] += len(blob) if kind == 1 else 0
+    assert max(size.values()) < 1.5 * sum(size.values()) / 64
+
+
 def test_exact_dedup(spark):
     rows = corpus(2) + [(401, "Same TEXT", "s"), (402, "same text", "s"), (403, "SAME text", None), (404, "É", "s"), (405, "é", "s")]
     found = rows_of(exact_dedup.exact_dedup(docs_of(spark, rows)))
