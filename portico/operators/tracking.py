@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +35,8 @@ LINK = {"position": 0.55, "direction": 0.15, "speed": 0.10, "box": 0.10, "gap":
 
 #: No track lives on, and no two fragments are linked, over a longer time without frames.
 QUIET_SECONDS = max(TENTATIVE_SECONDS, ACTIVE_SECONDS, RESCUE_SECONDS, LINK_SECONDS)
-#: Stretches of a device that are handed to a Python worker at once.
-STRETCHES = 64
+#: Stretches that begin within one such span of a device's time are handed to a Python worker together.
+SPAN_SECONDS = 21_600
 
 #: Columns of an observation.
 T, X, Y, X1, Y1, X2, Y2, CONF = range(8)
@@ -125,6 +126,10 @@ class Fragment:
     def seen(self) -> float:
         return float(self.obs[-1][T])
 
+    @property
+    def count(self) -> int:
+        return len(self.obs)
+
     def take(self, o: np.ndarray, frame: str) -> None:
         """Kalman update with an observation, in Joseph's form."""
         z = measured(o)
@@ -201,7 +206,7 @@ def rescue(tracks: list[Fragment], obs: np.ndarray, now: float) -> list[tuple[in
     cosine = turn(np.broadcast_to(velocity[:, None], move.shape), move)
     ok &= ~(moving & (trust >= 0.7) & (cosine < -0.75))
     unsure = 1 - np.clip((obs[:, CONF] - LOW) / max(1 - LOW, 1e-9), 0, 1)
-    bonus = w["history"] * np.minimum(np.log1p([len(f.obs) for f in tracks]) / np.log(26.0), 1)
+    bonus = w["history"] * np.minimum(np.log1p([f.count for f in tracks]) / np.log(26.0), 1)
     base = w["position"] * np.minimum(d2 / w["gate"], 1) + w["direction"] * np.where(moving, trust * (1 - cosine) / 2, 0) + w["box"] * box_cost(ratio, w["soft"])
     base += w["gap"] * ((gap / RESCUE_SECONDS) ** 2)[:, None] + w["confidence"] * unsure[None] - bonus[:, None]
     base = np.maximum(base, 0)
@@ -387,40 +392,66 @@ BOX = "struct<x1:double,y1:double,x2:double,y2:double>"
 SCHEMA = f"track_id string, path array<struct<timestamp:double,centre:struct<x:double,y:double>>>, best_crop struct<frame_id:string,bbox:{BOX}>, best_crop_confidence double"
 
 
+def time_spans(rows: DataFrame) -> DataFrame:
+    """One row for each span of a device that has frames: cut (begin of its first own stretch; null: none begins there), group (the span in which
+    the stretch before it began), begin and end of the device, whether the device's first BOOTSTRAP_FRAMES frames may lie there."""
+    device = Window.partitionBy("_by").orderBy("_span")
+    before = device.rowsBetween(Window.unboundedPreceding, -1)
+    # two frames of one cell are never further apart than QUIET_SECONDS
+    cells = rows.groupBy("_by", "_span", F.floor(F.col("timestamp") / QUIET_SECONDS).alias("_cell")).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    gap = F.col("lo") - F.lag("hi").over(Window.partitionBy("_by", "_span").orderBy("lo")) > QUIET_SECONDS
+    spans = cells.withColumn("gap", gap).groupBy("_by", "_span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("cells"), F.min(F.when(F.col("gap"), F.col("lo"))).alias("cut"))
+    fresh = F.coalesce(F.col("lo") - F.lag("hi").over(device) > QUIET_SECONDS, F.lit(True))
+    spans = spans.withColumn("cut", F.when(fresh, F.col("lo")).otherwise(F.col("cut")))
+    whole = Window.partitionBy("_by")
+    return spans.select(
+        "_by", "_span", "cut", F.last(F.when(F.col("cut").isNotNull(), F.col("_span")), ignorenulls=True).over(before).alias("group"),
+        F.min("lo").over(whole).alias("_begin"), F.max("hi").over(whole).alias("_end"), (F.coalesce(F.sum("cells").over(before), F.lit(0)) < BOOTSTRAP_FRAMES).alias("first"),
+    )
+
+
 def track_devices(detections: DataFrame, by: str = "device_id") -> DataFrame:
     """Tracks of each device: `by`, track_id, path, best_crop, best_crop_confidence. Ids start at 1 for each device.
 
-    A device's frames are numbered, and cut into stretches at each gap of more than QUIET_SECONDS. Ids count the fragments
-    born in all earlier stretches.
+    A device's history falls into stretches at each gap of more than QUIET_SECONDS. Stretches that begin in one span of
+    SPAN_SECONDS meet in one task, whole, and are tracked in step with others. Ids count the fragments born in all earlier
+    stretches.
     """
-    frame = Window.partitionBy(by).orderBy("timestamp", F.coalesce(F.col("frame_id").cast("string"), F.lit("None")))
-    gap = F.col("timestamp") - F.lag("timestamp").over(frame) > QUIET_SECONDS
-    d = detections.withColumn("_frame", F.dense_rank().over(frame) - 1).withColumn("_new", F.coalesce(gap, F.lit(False)).cast("long"))
-    whole = Window.partitionBy(by)
-    d = d.withColumn("_begin", F.min("timestamp").over(whole)).withColumn("_end", F.max("timestamp").over(whole))
-    d = d.withColumn("_stretch", F.sum("_new").over(frame)).withColumn("_group", F.floor(F.col("_stretch") / STRETCHES))
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        pdf = in_order(pdf)
-        part = pdf["_stretch"].to_numpy()
-        cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(pdf)], strict=True):
-            own = pdf.iloc[a:b]
-            found, born_here = stretch(own, int(own["_frame"].iloc[0]), float(own["_begin"].iloc[0]), float(own["_end"].iloc[0]))
-            rows.append((key[0], int(part[a]), born_here, None, None, None, None))
-            for f in found:
-                path = [{"timestamp": float(o[T]), "centre": {"x": float(o[X]), "y": float(o[Y])}} for o in f.obs]
-                box = {"x1": float(f.best[X1]), "y1": float(f.best[Y1]), "x2": float(f.best[X2]), "y2": float(f.best[Y2])}
-                rows.append((key[0], int(part[a]), 0, f.order, path, {"frame_id": f.best_frame, "bbox": box}, float(f.best[CONF])))
-        out = pd.DataFrame(rows, columns=[by, "_stretch", "_born", "_order", "path", "best_crop", "best_crop_confidence"])
-        return out.astype({"_order": "Int64"})
+    from . import lockstep  # it builds on this module
+
+    frame = F.coalesce(F.col("frame_id").cast("string"), F.lit("None"))
+    rows = detections.select(
+        F.col(by).alias("_by"), F.floor(F.col("timestamp") / SPAN_SECONDS).alias("_span"), frame.alias("_frame"), F.coalesce(F.col("detection_id").cast("string"), F.lit("None")).alias("_detection"),
+        F.col("detection_id").isNotNull().alias("_real"), *[F.col(c).cast("double").alias(c) for c in lockstep.VALUES],
+    )
+    # one short row for each span: kept, as its size tells how to join it
+    spans = time_spans(rows).persist()
+    spans.count()
+    early = rows.select("_by", "_span", "timestamp", "_frame").join(spans.where("first").select(F.col("_by").alias("_b"), F.col("_span").alias("_s")), F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_span") == F.col("_s"))).select("_by", "timestamp", "_frame").distinct()
+    tenth = early.withColumn("_n", F.row_number().over(Window.partitionBy("_by").orderBy("timestamp", "_frame"))).where(F.col("_n") == BOOTSTRAP_FRAMES)
+    told = spans.join(tenth.select(F.col("_by").alias("_b"), F.struct("timestamp", "_frame").alias("_tenth")), F.col("_by").eqNullSafe(F.col("_b")), "left")
+    told = told.select(F.col("_by").alias("_b"), F.col("_span").alias("_s"), "cut", "group", "_begin", "_end", "_tenth")
+    d = rows.join(told, F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_span") == F.col("_s")), "left")
+    d = d.withColumn("_group", F.when(F.col("timestamp") >= F.col("cut"), F.col("_span")).otherwise(F.col("group")))
+    d = d.withColumn("_early", F.coalesce(F.struct("timestamp", "_frame") <= F.col("_tenth"), F.lit(True)))
+    d = d.select(F.col("_by").alias(by), "_group", "_begin", "_end", "_early", "_real", "_frame", "_detection", *lockstep.VALUES)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        def finite():
+            for batch in batches:
+                if batch["timestamp"].null_count or not np.isfinite(batch["timestamp"].to_numpy()).all():
+                    raise ValueError("frame times must be finite")
+                yield batch
+
+        for table in lockstep.whole_groups(finite(), by):
+            yield from lockstep.track_groups(table, by).to_batches()
 
     kind = dict(detections.dtypes)[by]
-    columns = f"`{by}` {kind}, _stretch long, _born long, _order long, {SCHEMA.removeprefix('track_id string, ')}"
+    columns = f"`{by}` {kind}, _group long, _born long, _order long, {SCHEMA.removeprefix('track_id string, ')}"
     # few bytes but much work: by number, so that the groups are not put together in a few tasks
-    dealt = d.repartition(int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions")), by, "_group")
-    found = dealt.groupBy(by, "_group").applyInPandas(run, columns)
-    earlier = Window.partitionBy(by).orderBy("_stretch").rangeBetween(Window.unboundedPreceding, -1)
-    found = found.withColumn("track_id", (F.col("_order") + F.coalesce(F.sum("_born").over(earlier), F.lit(0))).cast("string"))
+    dealt = d.repartition(int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions")), by, "_group").sortWithinPartitions("_group", by)
+    found = dealt.mapInArrow(run, columns)
+    # a group's tracks come before its own row
+    earlier = Window.partitionBy(by).orderBy("_group", F.col("_order").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.withColumn("track_id", (F.col("_order") + F.sum("_born").over(earlier)).cast("string"))
     return found.where("_order is not null").select(by, "track_id", "path", "best_crop", "best_crop_confidence")

@@ -102,3 +102,60 @@ def test_stretches_give_the_tracks_of_the_whole_batch(spark):
     found = tracking.track_devices(spark.createDataFrame(frame).repartition(3)).collect()
     assert {x["track_id"]: [(p["timestamp"], p["centre"]["x"]) for p in x["path"]] for x in found} == want
     assert len(want) > 20
+
+
+def crowd(seed, blocks, most):
+    """One device's detections with quiet times, crossing walks, missed, unsure, repeated and empty frames."""
+    r = np.random.default_rng(seed)
+    rows, t = [], 100.0
+    for block in range(blocks):
+        t += float(r.choice([0.2, 0.6, 1.2, 2.4, 2.6, 40.0]))
+        starts, speed = r.uniform(0, 120, size=(int(r.integers(1, most)), 2)), r.normal(0, 6, size=(most, 2))
+        length = int(r.integers(2, 14))
+        for k in range(length):
+            now = t + k / 5
+            if r.random() < 0.1:
+                rows.append((round(now, 3), f"{now:.3f}x", None, *[None] * 6, None))
+            for w, place in enumerate(starts):
+                if r.random() < 0.8:
+                    cx, cy = place + speed[w] * k + r.normal(0, 1, 2)
+                    b, h = 20 * r.uniform(0.8, 1.2), 40 * r.uniform(0.8, 1.2)
+                    rows.append((round(now, 3), f"{now:.3f}", f"{block}:{w}:{k}", cx, cy, cx - b / 2, cy - h / 2, cx + b / 2, cy + h / 2, float(r.choice([0.2, 0.3, 0.45, 0.9, 0.91]))))
+        t += length / 5
+    return pd.DataFrame(rows, columns=["timestamp", "frame_id", "detection_id", "cx", "cy", "x1", "y1", "x2", "y2", "confidence"])
+
+
+def shown(f):
+    return [(float(o[tracking.T]), float(o[tracking.X])) for o in f.obs], f.best_frame, float(f.best[tracking.CONF]), float(f.best[tracking.X1])
+
+
+def test_devices_tracked_in_step_give_the_tracks_of_each_alone(spark, monkeypatch):
+    """Crowded devices, tracked together frame by frame over all their stretches; what competes goes through the same assignment."""
+    monkeypatch.setattr(tracking, "SPAN_SECONDS", 60)
+    every = {d: crowd(d, 80, 2 + d) for d in range(6)}
+    want = {(d, str(f.order)): shown(f) for d, frame in every.items() for f in tracking.track(frame)}
+    rows = [(d, *(None if x != x else x for x in r)) for d, frame in every.items() for r in frame.itertuples(index=False)]
+    kinds = "device_id int, timestamp double, frame_id string, detection_id string, cx double, cy double, x1 double, y1 double, x2 double, y2 double, confidence double"
+    found = tracking.track_devices(spark.createDataFrame(rows, kinds).repartition(3)).collect()
+    got = {(x["device_id"], x["track_id"]): ([(p["timestamp"], p["centre"]["x"]) for p in x["path"]], x["best_crop"]["frame_id"], x["best_crop_confidence"], x["best_crop"]["bbox"]["x1"]) for x in found}
+    assert got == want
+    assert len(want) > 200
+
+
+def test_frames_of_all_stretches_are_one_step(monkeypatch):
+    """A thousand walks apart from each other take as many steps as one of them has frames."""
+    import pyarrow as pa
+    from portico.operators import lockstep
+
+    n, frames = 1000, 10
+    t = np.repeat(np.arange(n) * 60.0, frames) + np.tile(np.arange(frames) / 5, n)
+    x = np.tile(np.arange(frames) * 4.0, n)
+    table = pa.table({"d": np.zeros(n * frames, np.int64), "_group": np.zeros(n * frames, np.int64), "_begin": t * 0, "_end": t * 0 + t[-1], "_early": t < 2, "_real": t >= 0, "_frame": [f"{v:.1f}" for v in t], "_detection": [str(i) for i in range(n * frames)],
+                      "timestamp": t, "cx": x, "cy": x, "x1": x - 10, "y1": x - 20, "x2": x + 10, "y2": x + 20, "confidence": x * 0 + 0.9})
+    steps, plain = [], lockstep.match
+    monkeypatch.setattr(lockstep, "match", lambda *a: steps.append(1) or plain(*a))
+    found = lockstep.track_groups(table, "d").to_pylist()
+    assert len(steps) == frames - 1
+    assert [r["_born"] for r in found if r["_order"] is None] == [n]
+    assert sorted(r["_order"] for r in found if r["_order"]) == list(range(1, n + 1))
+    assert {len(r["path"]) for r in found if r["_order"]} == {frames}
