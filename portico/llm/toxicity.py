@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from statistics import NormalDist
 
@@ -72,12 +73,28 @@ def _weigh(words):
 
 
 class Words:
-    """The indexed words in order of their hashes, and the idf of all words: of an indexed one its own, of others their slot's."""
+    """The indexed words in order of their hashes, and the idf of all words: of an indexed one its own, of others their slot's.
 
-    def __init__(self, names: np.ndarray, slots: int = SLOTS):
-        self.names, self.others = np.sort(names.astype(np.uint64)), slots
-        self.size = len(self.names) + slots
-        self.idf = np.zeros(self.size)
+    An indexed word's idf counts 1 + `evidence` times, if that is given.
+    """
+
+    def __init__(self, names: np.ndarray, slots: int = SLOTS, evidence: np.ndarray | None = None):
+        names = names.astype(np.uint64)
+        order = np.argsort(names)
+        self.names, self.others = names[order], slots
+        self.evidence = np.zeros(len(names)) if evidence is None else np.maximum(evidence, 0)[order]
+        self.size, self.rows = len(self.names) + slots, 0
+        self.df, self.idf = np.ones(self.size, np.int64), np.zeros(self.size)
+
+    def __getstate__(self) -> dict:
+        """Packed, as it is sent to all tasks: most slots hold small counts."""
+        own = len(self.names)
+        return {"names": self.names, "others": self.others, "rows": self.rows, "idf": self.idf[:own], "df": zlib.compress(self.df[own:].tobytes(), 1)}
+
+    def __setstate__(self, packed: dict) -> None:
+        self.names, self.others, self.rows = packed["names"], packed["others"], packed["rows"]
+        self.size = len(self.names) + self.others
+        self.idf = np.concatenate([packed["idf"], np.log((self.rows + 1) / np.frombuffer(zlib.decompress(packed["df"]), np.int64))])
 
     def slots(self, term: np.ndarray) -> np.ndarray:
         out = (term % np.uint64(self.others)).astype(np.int64) + len(self.names)
@@ -88,10 +105,10 @@ class Words:
 
     def count(self, slot: np.ndarray, n: np.ndarray) -> None:
         """Takes the document counts: idf log((rows + 1) / rows with the word)."""
-        rows = int(n[slot < 0].sum())
-        df = np.ones(self.size)
-        df[slot[slot >= 0]] = n[slot >= 0]
-        self.idf = np.log((rows + 1) / df)
+        self.rows = int(n[slot < 0].sum())
+        self.df[slot[slot >= 0]] = n[slot >= 0]
+        self.idf = np.log((self.rows + 1) / self.df)
+        self.idf[: len(self.names)] *= 1 + self.evidence
 
     def weigh(self, term: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A text's indexed words and their weights (1 + log n) idf in the unit vector of all its words."""
@@ -129,6 +146,17 @@ class Index:
         self.run_most = np.maximum.reduceat(self.weight, run) if len(run) else np.zeros(0)
         self.term_run = np.searchsorted(term[run], np.arange(n_terms + 1))
 
+    def __getstate__(self) -> dict:
+        """Packed, as it is sent to all tasks: places and runs as short as they may be, nothing that follows from the rest."""
+        short = {name: getattr(self, name).astype(np.min_scalar_type(int(getattr(self, name).max(initial=0)))) for name in ("place", "run", "term_run")}
+        return {"ids": self.ids, "toxic": self.toxic, "n_blocks": self.n_blocks, "weight": self.weight} | short
+
+    def __setstate__(self, packed: dict) -> None:
+        self.__dict__.update({name: x.astype(np.int64) if name in ("place", "run", "term_run") else x for name, x in packed.items()})
+        first = self.run[:-1]
+        self.run_block = self.place[first] // BLOCK
+        self.run_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above 0 (ties: smaller id), exact: blocks whose bound is too low are passed over."""
         hit, cos, floor, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, -(-2 * k // BLOCK)
@@ -221,11 +249,12 @@ def _share(o, e):
     return F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", examples: int = EXAMPLES, chance: float = CHANCE, k: int = NEIGHBOURS, slots: int = SLOTS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", examples: int = EXAMPLES, chance: float | None = CHANCE, k: int = NEIGHBOURS, slots: int = SLOTS) -> Model:
     """The model of at most `examples` labelled rows, those of smallest hashed id; `labels` (doc_id, toxic) holds training rows only.
 
     Indexed are all words of the examples whose presence goes with the label beyond chance: likelihood ratio (G)
-    statistic over the examples, as many as there are. Norms are over all words of a text. Document counts are taken
+    statistic over the examples, as many as there are. Without a `chance`, all words of the examples are indexed, and
+    each word's weight is 1 + G times its TF-IDF in texts and norms. Norms are over all words of a text. Document counts are taken
     over all documents: of each indexed word exactly, of the others by hash in `slots` slots.
     """
     tell = docs.sparkSession.sparkContext.broadcast
@@ -235,15 +264,25 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     n, pos = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     a, c = F.col("a"), F.col("c")
     found = stored(known.select("toxic", "text").mapInArrow(_example_terms, "toxic int, term long").groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.count("*").cast("double").alias("c")))
-    names = np.zeros(0, np.int64)
-    if 0 < pos < n:
+    names, evidence = np.zeros(0, np.int64), None
+    if chance is None and not 0 < pos < n:
+        names = found.select("term").toArrow()["term"].to_numpy()  # the words of the examples
+    elif 0 < pos < n:
         p = pos / n
         g = 2 * (_share(a, c * p) + _share(c - a, c * (1 - p)) + _share(pos - a, (n - c) * p) + _share(n - c - pos + a, (n - c) * (1 - p)))
-        names = found.where(g > evidence_bound(found.count(), chance)).select("term").toArrow()["term"].to_numpy()  # some of the words of the examples
-    words = Words(names.view(np.uint64), slots)
-    counts = rows.select("text").mapInArrow(_document_counts(tell(words)), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most one row a slot
+        told = found.select("term", g.alias("g"))
+        if chance is not None:
+            told = told.where(F.col("g") > evidence_bound(found.count(), chance))
+        told = told.toArrow()  # words of the examples
+        names, evidence = told["term"].to_numpy(), told["g"].to_numpy() if chance is None else None
+    words = Words(names.view(np.uint64), slots, evidence)
+    known_words = tell(words)
+    counts = rows.select("text").mapInArrow(_document_counts(known_words), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most one row a slot
     words.count(counts["slot"].to_numpy(), counts["n"].to_numpy())
-    vectors = known.mapInArrow(_weigh(tell(words)), "doc_id long, toxic int, term array<long>, weight array<double>").toArrow().sort_by("doc_id").combine_chunks()
+    known_words.unpersist()
+    known_words = tell(words)
+    vectors = known.mapInArrow(_weigh(known_words), "doc_id long, toxic int, term array<long>, weight array<double>").toArrow().sort_by("doc_id").combine_chunks()
+    known_words.unpersist()
     discard(known, found)
     at, w = ([np.asarray(x.values) for x in vectors[name]] for name in ("term", "weight"))
     ids, toxic = vectors["doc_id"].to_numpy(), vectors["toxic"].to_numpy().astype(float)
@@ -272,7 +311,7 @@ def held_out(doc_id):
 def toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One row for each document: doc_id, held_out, score, predicted, evidence (nearest examples).
 
-    Learned from labelled rows whose crc32(id as text) mod 5 is not 0. A score is the calibrated vote of the nearest
+    Learned from labelled rows whose crc32(id as text) mod 5 is not 0. `options` are those of `fit`. A score is the calibrated vote of the nearest
     examples. The index holds words of `examples` texts alone, the counts `slots` slots, whatever the input; both are
     told to all tasks, and the texts are scored where they are read.
 

@@ -594,6 +594,55 @@ def test_toxicity_indexes_every_telling_word(spark):
     assert (w * w).sum() < 0.2
 
 
+def plain_scores(texts, told, k=16):
+    """Scores over all words, each weighed by 1 + G, from dictionaries and full sorts; also the examples' words."""
+    bags = {i: Counter(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", lower(t))) for i, t in texts.items()}
+    df = Counter(w for b in bags.values() for w in b)
+    known = {i: y for i, y in told.items() if i in texts and zlib.crc32(str(i).encode()) % 5}
+    n, pos = len(known), sum(known.values())
+    here, toxic = Counter(w for i in known for w in bags[i]), Counter(w for i, y in known.items() if y for w in bags[i])
+
+    def weight(w):
+        c, a, p = here[w], toxic[w], pos / n
+        cells = [(a, c * p), (c - a, c * (1 - p)), (pos - a, (n - c) * p), (n - c - pos + a, (n - c) * (1 - p))] if c else []
+        return math.log((len(texts) + 1) / df[w]) * (1 + 2 * sum(o * math.log(o / e) for o, e in cells if o > 0))
+
+    def vector(i):
+        v = {w: (1 + math.log(m)) * weight(w) for w, m in bags[i].items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    unit = {i: vector(i) for i in texts}
+
+    def vote(i, without=None):
+        near = [(sum(x * unit[j].get(w, 0) for w, x in unit[i].items()), j) for j in known if j != without]
+        near = sorted(((-round(c, 12), j) for c, j in near if c > 0))[:k]
+        weights = [1 / max(1 + c, 0.05) - 1 for c, _ in near]
+        return (sum(w * known[j] for w, (_, j) in zip(weights, near, strict=True)) + 0.01 * pos / n) / (sum(weights) + 0.01)
+
+    x, y = toxicity.calibration(np.array([vote(i, i) for i in known]), np.array([float(v) for v in known.values()]))
+    return set(here), {i: float(y[max(int(np.searchsorted(x, vote(i) + 1e-9, side="right")) - 1, 0)]) for i in texts}
+
+
+def test_toxicity_query_compares_whole_texts(spark, tmp_path):
+    """The query's scores are those of a plain search in which no word is left out."""
+    from portico.llm import queries
+
+    df, labels = labelled(spark, 200)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    words, want = plain_scores(texts, {r["doc_id"]: r["toxic"] for r in labels.collect()})
+    found = {r["doc_id"]: r["score"] for r in queries.op6_toxicity(spark, str(tmp_path)).collect()}
+    off = [i for i in want if abs(want[i] - found[i]) > 1e-6]
+    assert set(found) == set(want)
+    assert not off, [(i, want[i], found[i]) for i in off[:5]]
+    model = toxicity.fit(df, labels.where(~toxicity.held_out(labels.doc_id)), chance=None)
+    assert len(model.words.names) == len(words)
+    one = labels.selectExpr("doc_id", "quality", "1 as toxic")
+    assert {r["score"] for r in toxicity.toxicity(df, one, chance=None).collect()} == {1.0}
+
+
 def test_toxicity_odd_tables(spark):
     """One label alone, ids that repeat with other texts, labels of documents that are not there, a very long text."""
     df, labels = labelled(spark, 60)
