@@ -650,3 +650,19 @@ def test_toxicity_odd_tables(spark):
     assert {r["score"] for r in toxicity.toxicity(df, one).collect()} == {1.0}
     odd = docs_of(spark, [(7, "nasty " * 100_000, None), (7, "plain", None), (7, None, None), (None, None, None)])
     assert {r["score"] for r in toxicity.toxicity(odd, spark.createDataFrame([(7, 0, 1), (999, 0, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")).collect()} == {1.0}
+
+
+def test_block_max_search_of_frequent_terms_is_exact():
+    """Terms that most examples hold leave most blocks in question; then their lists are read as a whole."""
+    r = np.random.default_rng(5)
+    x = r.random((1000, 30)) * (r.random((1000, 30)) < np.linspace(0.05, 0.9, 30))
+    x = x[x.sum(axis=1) > 0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    example, term = np.nonzero(x)
+    index = toxicity.Index(30, np.arange(len(x)), np.zeros(len(x)), example, term, x[example, term])
+    for own, q in enumerate(x[:100]):
+        at = np.flatnonzero(q)
+        hit, _ = index.nearest(at, q[at], 7, leave=own)
+        want = sorted((-round(c, 12), i) for i, c in enumerate(x @ q) if c > 0 and i != own)[:7]
+        assert [int(index.ids[h]) for h in hit] == [i for _, i in want]
+    assert index.rows
