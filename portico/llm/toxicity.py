@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from statistics import NormalDist
 
 import numpy as np
@@ -24,6 +25,8 @@ CHANCE = 0.001
 SLOTS = 1 << 20
 #: Neighbours that vote, examples of a block.
 NEIGHBOURS, BLOCK = 16, 64
+#: Terms that one in so many examples hold are multiplied as whole rows, for so many texts at once.
+OFTEN, TOGETHER = 8, 64
 #: Weight of the examples' share of toxic ones in a vote.
 PRIOR = 0.01
 
@@ -137,71 +140,106 @@ class Index:
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         self.ids, self.toxic = ids[order], toxic[order]
-        self.n_blocks, self.rows = -(-len(ids) // BLOCK), {}
+        self.n_blocks = -(-len(ids) // BLOCK)
         posting = np.lexsort((place[example], term))
-        self.place, self.weight, term = place[example[posting]], weight[posting], term[posting]
-        run = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(self.place // BLOCK) != 0)]) if len(term) else np.zeros(0, np.int64)
+        # places as short as they may be: most of the time goes into reading them
+        self.place, self.weight, term = place.astype(np.min_scalar_type(len(ids)))[example[posting]], weight[posting], term[posting]
+        run = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff((self.place // BLOCK).astype(np.int64)) != 0)]) if len(term) else np.zeros(0, np.int64)
         self.run = np.r_[run, len(term)]
-        self.run_block = self.place[run] // BLOCK
+        self.run_block = self.place[run].astype(np.int64) // BLOCK
         self.run_most = np.maximum.reduceat(self.weight, run) if len(run) else np.zeros(0)
         self.term_run = np.searchsorted(term[run], np.arange(n_terms + 1))
+        self._spread()
+
+    def _spread(self) -> None:
+        """Terms that a quarter of the blocks hold have their runs, and the runs' largest weights, as rows by block as well; frequent ones their weights by place."""
+        often = np.flatnonzero(OFTEN * np.diff(self.run[self.term_run]) >= max(self.n_blocks, 1) * BLOCK)
+        self.rows = {t: k for k, t in enumerate(often.tolist())}
+        self.row = np.full(len(self.term_run) - 1, -1)
+        self.row[often] = np.arange(len(often))
+        postings, row = ragged(self.run[self.term_run[often]], self.run[self.term_run[often + 1]])
+        self.often = np.zeros((len(often), self.n_blocks * BLOCK))
+        self.often[row, self.place[postings]] = self.weight[postings]
+        wide = np.flatnonzero(4 * np.diff(self.term_run) >= max(self.n_blocks, 1))
+        self.wide = np.full(len(self.term_run) - 1, -1)
+        self.wide[wide] = np.arange(len(wide))
+        runs, row = ragged(self.term_run[wide], self.term_run[wide + 1])
+        self.wide_run, self.wide_most = np.full((len(wide), self.n_blocks), -1, np.int32), np.zeros((len(wide), self.n_blocks))
+        self.wide_run[row, self.run_block[runs]] = runs
+        self.wide_most[row, self.run_block[runs]] = self.run_most[runs]
 
     def __getstate__(self) -> dict:
-        """Packed, as it is sent to all tasks: places and runs as short as they may be, nothing that follows from the rest."""
-        short = {name: getattr(self, name).astype(np.min_scalar_type(int(getattr(self, name).max(initial=0)))) for name in ("place", "run", "term_run")}
-        return {"ids": self.ids, "toxic": self.toxic, "n_blocks": self.n_blocks, "weight": self.weight} | short
+        """Packed, as it is sent to all tasks: runs as short as they may be, nothing that follows from the rest."""
+        short = {name: getattr(self, name).astype(np.min_scalar_type(int(getattr(self, name).max(initial=0)))) for name in ("run", "term_run")}
+        return {"ids": self.ids, "toxic": self.toxic, "n_blocks": self.n_blocks, "place": self.place, "weight": self.weight} | short
 
     def __setstate__(self, packed: dict) -> None:
-        self.__dict__.update({name: x.astype(np.int64) if name in ("place", "run", "term_run") else x for name, x in packed.items()})
-        first, self.rows = self.run[:-1], {}
-        self.run_block = self.place[first] // BLOCK
+        self.__dict__.update({name: x.astype(np.int64) if name in ("run", "term_run") else x for name, x in packed.items()})
+        first = self.run[:-1]
+        self.run_block = self.place[first].astype(np.int64) // BLOCK
         self.run_most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self._spread()
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest cosine above 0 (ties: smaller id), exact: blocks whose bound is too low are passed over."""
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, leave: int | None = None, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest cosine above 0 (ties: smaller id), exact: blocks whose bound is too low are passed over.
+
+        `share` is what `together` tells with the text, if it was asked.
+        """
         hit, cos, floor, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, -(-2 * k // BLOCK)
-        runs, which = ragged(self.term_run[at], self.term_run[at + 1])
-        if not len(runs):
+        row = self.wide[at]
+        narrow, wide = row < 0, row[row >= 0]
+        runs, which = ragged(self.term_run[at[narrow]], self.term_run[at[narrow] + 1])
+        if not len(runs) and not len(wide):
             return hit, cos
-        told, block, w = w, self.run_block[runs], w[which]
-        bound = np.bincount(block, w * self.run_most[runs], self.n_blocks)
+        wide_w, block, narrow_w = w[~narrow], self.run_block[runs], w[narrow][which]
+        bound = np.bincount(block, narrow_w * self.run_most[runs], self.n_blocks) + wide_w @ self.wide_most[wide]
         order = np.argsort(-bound, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         while done < len(order) and bound[order[done]] > 0 and bound[order[done]] >= floor - 1e-12:
             if done and 2 * (np.count_nonzero(bound >= floor - 1e-12) - done) > len(order):
                 # most blocks are left: the terms' lists as they lie are quicker than runs picked from them
-                found = self._cosines(at, told)
+                found = self._cosines(at, w, share)
                 place = np.flatnonzero((found > 0) & (found >= floor - 1e-12))
                 place = place[rank[place // BLOCK] >= done]
                 hit, cos, floor = self._best(hit, cos, place, found[place], k, leave)
                 break
             mine = np.flatnonzero((rank[block] >= done) & (rank[block] < done + step))
-            posting, of = ragged(self.run[runs[mine]], self.run[runs[mine] + 1])
-            place = (rank[block[mine]][of] - done) * BLOCK + self.place[posting] % BLOCK
-            found = np.bincount(place, w[mine][of] * self.weight[posting])
+            more = self.wide_run[wide[:, None], order[done : done + step]]
+            held = more >= 0
+            of_step, of_term = np.r_[runs[mine], more[held]], np.r_[narrow_w[mine], np.broadcast_to(wide_w[:, None], more.shape)[held]]
+            posting, of = ragged(self.run[of_step], self.run[of_step + 1])
+            place = (rank[self.run_block[of_step]][of] - done) * BLOCK + self.place[posting] % BLOCK
+            found = np.bincount(place, of_term[of] * self.weight[posting])
             ok = np.flatnonzero((found > 0) & (found >= floor - 1e-12))
             hit, cos, floor = self._best(hit, cos, order[done + ok // BLOCK] * BLOCK + ok % BLOCK, found[ok], k, leave)
             done += step
             step *= 4
         return hit, cos
 
-    def _cosines(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """The cosine of each place; terms that a quarter of the examples hold are added as whole rows."""
+    def together(self, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Each text (terms, weights) with the frequent terms' part of its cosine with each place: one product for TOGETHER texts."""
+        texts = iter(texts)
+        while few := list(islice(texts, TOGETHER)):
+            held = np.zeros((TOGETHER, len(self.often)))  # as many rows always, so that sums don't hang on which texts meet
+            for k, (at, w) in enumerate(few):
+                row = self.row[at]
+                held[k, row[row >= 0]] = w[row >= 0]
+            yield from ((at, w, share) for (at, w), share in zip(few, held @ self.often, strict=False))
+
+    def _cosines(self, at: np.ndarray, w: np.ndarray, share: np.ndarray | None) -> np.ndarray:
+        """The cosine of each place: the lists of the rarer terms, and the frequent ones' share."""
+        if share is None:
+            _, _, share = next(self.together([(at, w)]))
+        rare = self.row[at] < 0
+        at, w = at[rare], w[rare]
         a, b = self.run[self.term_run[at]], self.run[self.term_run[at + 1]]
-        often = 4 * (b - a) >= len(self.ids)
-        lists = list(zip(a[~often].tolist(), b[~often].tolist(), strict=True))
-        if lists:
-            found = np.concatenate([self.weight[x:y] for x, y in lists]) * np.repeat(w[~often], (b - a)[~often])
-            found = np.bincount(np.concatenate([self.place[x:y] for x, y in lists]), found, self.n_blocks * BLOCK)
-        else:
-            found = np.zeros(self.n_blocks * BLOCK)
-        for t, own, x, y in zip(at[often].tolist(), w[often].tolist(), a[often].tolist(), b[often].tolist(), strict=True):
-            if t not in self.rows:
-                self.rows[t] = np.zeros(self.n_blocks * BLOCK)
-                self.rows[t][self.place[x:y]] = self.weight[x:y]
-            found += own * self.rows[t]
-        return found
+        lists = list(zip(a.tolist(), b.tolist(), strict=True))
+        if not lists:
+            return share
+        found = np.concatenate([self.weight[x:y] for x, y in lists])
+        found *= np.repeat(w, b - a)
+        return share + np.bincount(np.concatenate([self.place[x:y] for x, y in lists]), found, self.n_blocks * BLOCK)
 
     def _best(self, hit, cos, place, found, k: int, leave: int | None):
         """The k best of those held and those found, and the cosine that others must reach."""
@@ -251,8 +289,8 @@ class Model:
         self.words, self.index, self.k = words, index, k
         self.prior = float(toxic.mean()) if len(toxic) else 0.0
         votes, truth, lone = [], [], []
-        for (at, w), own, y in zip(vectors, ids.tolist(), toxic.tolist(), strict=True):
-            hit, cos = index.nearest(at, w, k, leave=own)
+        for (at, w, share), own, y in zip(index.together(vectors), ids.tolist(), toxic.tolist(), strict=True):
+            hit, cos = index.nearest(at, w, k, own, share)
             if len(hit):
                 votes.append(index.vote(hit, cos, self.prior))
                 truth.append(y)
@@ -261,12 +299,18 @@ class Model:
         self.steps = calibration(np.array(votes), np.array(truth)) if votes else (np.zeros(0), np.zeros(0))
         self.alone = float(np.mean(lone)) if lone else self.prior
 
+    def scores(self, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[dict]]]:
+        """The score and the nearest examples of each text, told as its distinct words and their counts."""
+        for at, w, share in self.index.together(self.words.weigh(term, n) for term, n in texts):
+            hit, cos = self.index.nearest(at, w, self.k, None, share)
+            if not len(hit) or not len(self.steps[0]):
+                yield self.alone, []
+                continue
+            step = max(int(np.searchsorted(self.steps[0], self.index.vote(hit, cos, self.prior), side="right")) - 1, 0)
+            yield float(self.steps[1][step]), [{"doc_id": int(self.index.ids[h]), "toxic": int(self.index.toxic[h]), "cosine": float(c)} for h, c in zip(hit[:3], cos[:3], strict=True)]
+
     def score(self, term: np.ndarray, n: np.ndarray) -> tuple[float, list[dict]]:
-        hit, cos = self.index.nearest(*self.words.weigh(term, n), self.k)
-        if not len(hit) or not len(self.steps[0]):
-            return self.alone, []
-        step = max(int(np.searchsorted(self.steps[0], self.index.vote(hit, cos, self.prior), side="right")) - 1, 0)
-        return float(self.steps[1][step]), [{"doc_id": int(self.index.ids[h]), "toxic": int(self.index.toxic[h]), "cosine": float(c)} for h, c in zip(hit[:3], cos[:3], strict=True)]
+        return next(self.scores([(term, n)]))
 
 
 def evidence_bound(words: int, chance: float = CHANCE) -> float:
@@ -324,7 +368,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.score(term, n) for term, n in _rows_terms(batch)]
+            found = list(model.value.scores(_rows_terms(batch)))
             yield pa.record_batch([batch["doc_id"], pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], EVIDENCE)], names=["doc_id", "score", "evidence"])
 
     return run

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -666,3 +667,26 @@ def test_block_max_search_of_frequent_terms_is_exact():
         want = sorted((-round(c, 12), i) for i, c in enumerate(x @ q) if c > 0 and i != own)[:7]
         assert [int(index.ids[h]) for h in hit] == [i for _, i in want]
     assert index.rows
+
+
+def test_block_max_search_bounds_wide_terms_without_their_runs(monkeypatch):
+    """Terms of most blocks are bounded as whole rows; their runs are picked for the blocks that are read, not all listed."""
+    r = np.random.default_rng(6)
+    x = r.random((4000, 60)) * (r.random((4000, 60)) < np.linspace(0.001, 0.5, 60))
+    x = x[x.sum(axis=1) > 0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    example, term = np.nonzero(x)
+    index = toxicity.Index(60, np.arange(len(x)), np.zeros(len(x)), example, term, x[example, term])
+    index = pickle.loads(pickle.dumps(index))
+    listed, ragged = [], toxicity.ragged
+    monkeypatch.setattr(toxicity, "ragged", lambda first, last: listed.append(int((last - first).sum())) or ragged(first, last))
+    for own, q in enumerate(x[:60]):
+        at = np.flatnonzero(q)
+        del listed[:]
+        hit, cos = index.nearest(at, q[at], 7, leave=own)
+        want = sorted((-round(c, 12), i) for i, c in enumerate(x @ q) if c > 0 and i != own)[:7]
+        assert [int(index.ids[h]) for h in hit] == [i for _, i in want]
+        assert np.allclose(cos, [-c for c, _ in want])
+        runs = np.diff(index.term_run)[at]
+        assert listed[0] == runs[4 * runs < index.n_blocks].sum()
+    assert index.place.dtype == np.uint16
