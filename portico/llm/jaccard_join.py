@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, components, counted, discard, gather_blobs, id_filter, in_filter, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, FOREST_EDGES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, components, counted, discard, gather_blobs, id_filter, in_filter, local_components, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
@@ -344,30 +344,61 @@ def _near(percent: int):
                 sign = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("sign_a", "sign_b")]
                 na, nb = (batch[c].to_numpy().astype(np.int64) for c in ("na", "nb"))
                 good = np.bitwise_count(sign[0] ^ sign[1]).sum(axis=1, dtype=np.int64) <= na + nb - 2 * needed(na, nb, percent)
-                yield batch.filter(pa.array(good)).select(["a", "b"])
+                yield batch.filter(pa.array(good)).select(["a", "b", "na", "nb"])
 
     return run
 
 
+#: Bytes of sets that are held at a time to answer pairs; two larger sets make a chunk of their own.
+CHUNK_BYTES = 4 << 20
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Deals a task's pairs to chunks: pairs that sets connect meet in one, as far as CHUNK_BYTES go, so that a set is sent few times."""
+    parts = [[batch[c].to_numpy().astype(np.int64) for c in ("a", "b", "na", "nb")] for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    a, b, na, nb = (np.concatenate(x) for x in zip(*parts, strict=True))
+    names, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = local_components(len(names), flat[: len(a)], flat[len(a) :])[flat[: len(a)]]
+    order = np.lexsort((b, a, label))
+    a, b, label = a[order], b[order], label[order]
+    new = np.r_[True, label[1:] != label[:-1]]
+    held, size = set(), 0
+    for k, (x, y, nx, ny) in enumerate(zip(a.tolist(), b.tolist(), na[order].tolist(), nb[order].tolist(), strict=True)):
+        more = 8 * (nx * (x not in held) + ny * (y not in held))
+        if new[k] or size + more > CHUNK_BYTES:
+            new[k], held, size, more = True, set(), 0, 8 * (nx + ny)
+        held |= {x, y}
+        size += more
+    first = np.flatnonzero(new)
+    chunk = pair_key(a[first], b[first]).view(np.int64)[np.cumsum(new) - 1]
+    for k in range(0, len(a), 1 << 16):
+        s = slice(k, k + (1 << 16))
+        yield pa.record_batch([pa.array(chunk[s]), pa.array(a[s]), pa.array(b[s])], names=["chunk", "a", "b"])
+
+
 def _verify(percent: int):
-    """Each pair's answer from the whole sets, with the low bits of the pair's key."""
+    """Each pair's answer from the whole sets, with the low bits of the pair's key. Of a chunk come the sets (b null), then the pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            good = np.zeros(batch.num_rows, bool)
-            last, x = None, None
-            for k, (a, left, right) in enumerate(zip(batch["a"].to_pylist(), batch["set_a"], batch["set_b"], strict=True)):
-                if a != last:
-                    last, x = a, np.frombuffer(left.as_buffer(), np.uint64)
-                y = np.frombuffer(right.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
+            asked = []
+            for chunk, a, b, shingles in zip(batch["chunk"].to_pylist(), batch["a"].to_pylist(), batch["b"].to_pylist(), batch["shingles"], strict=True):
+                if chunk != now:
+                    now, sets = chunk, {}
+                if b is None:
+                    sets[a] = np.frombuffer(shingles.as_buffer(), np.uint64)
+                    continue
+                both = np.concatenate([sets[a], sets[b]])
                 both.sort(kind="stable")
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
-            key = pair_key(batch["a"].to_numpy(), batch["b"].to_numpy()) & np.uint64(ANSWERED_SLOTS - 1)
-            yield pa.record_batch([batch["a"], batch["b"], pa.array(key.astype(np.int64)), pa.array(good)], names=["a", "b", "slot", "linked"])
+                asked.append((a, b, 100 * shared >= percent * (len(both) - shared)))
+            if asked:
+                a, b, good = (np.array(x) for x in zip(*asked, strict=True))
+                key = pair_key(a, b) & np.uint64(ANSWERED_SLOTS - 1)
+                yield pa.record_batch([pa.array(a), pa.array(b), pa.array(key.astype(np.int64)), pa.array(good)], names=["a", "b", "slot", "linked"])
 
     return run
 
@@ -399,8 +430,11 @@ class JaccardJoin:
         self.refused: list[DataFrame] = []
         self.links = self.components = self.open = None
 
-    def sets(self, names: DataFrame, few: bool) -> DataFrame:
-        """(name, shingles) of the named sets, read again from one text of each; a row that repeats an id counts by its own set."""
+    def sets(self, names: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
+        """(chunk, name, shingles) of the named sets (chunk, name), read again from one text of each, and the stored table it needs.
+
+        A row that repeats an id counts by its own set; rows that repeat an id and its text repeat the set.
+        """
         wanted = stored(told_all(names.distinct(), few).join(self.holders, "name"))
         texts = self.docs.select("doc_id", "text")
         if few:
@@ -408,9 +442,7 @@ class JaccardJoin:
         else:
             bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
             found = with_slot(texts, "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words), SETS_SCHEMA)
-        out = stored(found.join(told_all(wanted, few), ["doc_id", "name"]).dropDuplicates(["name"]).select("name", "shingles"))
-        discard(wanted)
-        return out
+        return found.join(told_all(wanted, few), ["doc_id", "name"]).select("chunk", "name", "shingles"), wanted
 
     def learn(self, pairs: DataFrame) -> tuple[int, int]:
         """Answers the pairs (a, b, na, nb) of set names that signatures leave, from the whole sets; how many, and how many of them link."""
@@ -419,13 +451,16 @@ class JaccardJoin:
         if count:
             sign = lambda s: self.signs.select(F.col("name").alias(s), F.col("sign").alias(f"sign_{s}"))
             signed = told_all(told_all(met, few).join(sign("a"), "a"), few).join(sign("b"), "b")
-            near, count = counted(signed.select("a", "b", "na", "nb", "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long"))
+            near, count = counted(signed.select("a", "b", F.col("na").cast("long").alias("na"), F.col("nb").cast("long").alias("nb"), "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long, na long, nb long"))
         if count:
-            sets = self.sets(near.select(F.col("a").alias("name")).union(near.select("b")), few)
-            whole = lambda s: sets.select(F.col("name").alias(s), F.col("shingles").alias(f"set_{s}"))
-            both = told_all(near, few).join(whole("a"), "a").join(whole("b"), "b")
-            told, linked = counted(both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"), F.sum(F.col("linked").cast("long")))
-            discard(sets, near)
+            few = count <= FEW
+            pairs = stored((near.coalesce(1) if count <= FOREST_EDGES else near).mapInArrow(_chunks, "chunk long, a long, b long"))
+            sets, wanted = self.sets(pairs.select("chunk", F.col("a").alias("name")).union(pairs.select("chunk", "b")), few)
+            sets = sets.select("chunk", F.col("name").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
+            both = sets.unionByName(pairs.withColumn("shingles", F.lit(None).cast("binary"))).repartition(parallelism(self.spark), "chunk")
+            both = both.sortWithinPartitions("chunk", F.col("b").asc_nulls_first())
+            told, linked = counted(both.mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"), F.sum(F.col("linked").cast("long")))
+            discard(pairs, near, wanted)
             self.refused.append(told.where("not linked").select("a", "b", "slot"))
         if linked:
             links = told.where("linked").select("a", "b")

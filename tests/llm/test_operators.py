@@ -690,3 +690,25 @@ def test_block_max_search_bounds_wide_terms_without_their_runs(monkeypatch):
         runs = np.diff(index.term_run)[at]
         assert listed[0] == runs[4 * runs < index.n_blocks].sum()
     assert index.place.dtype == np.uint16
+
+
+def test_jaccard_chunks_send_each_connected_set_once():
+    """Pairs that sets connect are answered together: before, a set was sent again with each of its pairs."""
+    name = lambda k: pa.array(k, pa.int64())
+    # a clique of 30 sets, one star that is larger than a chunk, and a pair of very large sets
+    clique = [(i, j, 1000, 1000) for i in range(30) for j in range(i + 1, 30)]
+    star = [(100, 101 + i, 40_000, 40_000) for i in range(200)]
+    pairs = [*clique, *star, (900, 901, 5_000_000, 5_000_000)]
+    random.Random(3).shuffle(pairs)
+    batches = [pa.record_batch([name(list(x)) for x in zip(*part, strict=True)], names=["a", "b", "na", "nb"]) for part in (pairs[:250], pairs[250:])]
+    told = [r for out in jaccard_join._chunks(iter(batches)) for r in out.to_pylist()]
+    assert sorted((r["a"], r["b"]) for r in told) == sorted(p[:2] for p in pairs)
+    chunks = defaultdict(set)
+    for r in told:
+        chunks[r["chunk"]] |= {r["a"], r["b"]}
+    assert Counter(n for held in chunks.values() for n in held if n < 100) == Counter(range(30))
+    assert {900, 901} in chunks.values()
+    size = {n: s for a, b, x, y in pairs for n, s in ((a, x), (b, y))}
+    assert all(8 * sum(size[n] for n in held) <= jaccard_join.CHUNK_BYTES for held in chunks.values() if 900 not in held)
+    assert sum(100 in held for held in chunks.values()) == math.ceil(200 / (jaccard_join.CHUNK_BYTES // 320_000 - 1))
+    assert list(jaccard_join._chunks(iter([]))) == []
