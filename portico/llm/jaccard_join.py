@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import BLOB_SCHEMA, FLUSH_BYTES, FOREST_EDGES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, components, counted, discard, gather_blobs, id_filter, in_filter, local_components, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
+from .common import BLOB_SCHEMA, FLUSH_BYTES, FOREST_EDGES, blob_batch, bounded_batches, bucketed_blobs, by_bucket, components, counted, discard, gather_blobs, id_filter, in_filter, lean, local_components, maybe_among, parallelism, row_order, slot_filter, stored, whole_rows, with_slot
 from .hashing import blocks, mix, shingle_sets, text_buffer
 
 WORDS = 5
@@ -41,7 +41,10 @@ SKIP = 64
 SIGNED, SIGN_BITS = 8, 2048
 #: Pairs that are bounded at once.
 SIGN_PAIRS = 1 << 15
-ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"], 2: ["<i8", f"V{SIGN_BITS // 8}"]}
+#: Of sets of more shingles than LONG any two may differ in most of SIGN_BITS: they have a signature of so many bits
+#: as well, an eighth of the set at most, that is looked at before whole sets are.
+LONG, WIDE_BITS = 2048, 1 << 14
+ENTRY = {0: ["<i8", "<i8", "<i4"], 1: ["<u8", "<i8", "<i4", "<i4"], 2: ["<i8", f"V{SIGN_BITS // 8}"], 3: ["<i8", f"V{WIDE_BITS // 8}"]}
 
 
 def needed(a, b, percent: int):
@@ -62,9 +65,9 @@ def set_hash(s: np.ndarray) -> int:
     return int(mix(np.array([(mix(s) * odd).sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64)).astype(np.int64)[0])
 
 
-def signature(s: np.ndarray) -> np.ndarray:
+def signature(s: np.ndarray, bits: int = SIGN_BITS) -> np.ndarray:
     """For each slot the parity of the set's shingles in it: signatures differ in no more bits than their sets in shingles."""
-    odd = np.bincount((mix(s) % np.uint64(SIGN_BITS)).astype(np.int64), minlength=SIGN_BITS) & 1
+    odd = np.bincount((mix(s) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
@@ -108,7 +111,7 @@ def _sampled(words: int):
 
 def frequent_shingles(docs: DataFrame, words: int = WORDS) -> list[np.ndarray]:
     """The tiers' filters. They only shape the order: an estimate will do, but it is the same however the rows are dealt."""
-    found = stored(docs.select("text").mapInArrow(_sampled(words), "shingle long, n long").groupBy("shingle").agg((F.sum("n") * SAMPLED).alias("n")).where(F.col("n") >= TIERS[0]))
+    found = stored(docs.select("text").mapInArrow(lean(_sampled(words)), "shingle long, n long").groupBy("shingle").agg((F.sum("n") * SAMPLED).alias("n")).where(F.col("n") >= TIERS[0]))
     slot = F.col("shingle").bitwiseAND(F.lit(TIER_SLOTS - 1))
     filters = [slot_filter(found.where(F.col("n") >= least), slot, TIER_SLOTS) for least in TIERS]
     discard(found)
@@ -130,11 +133,11 @@ def tiers_of(filters: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def _index_blobs(frequent, words: int, percent: int, buckets: int):
+def _index_blobs(frequent, words: int, percent: int, buckets: int, long: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members: list[tuple[int, int, int]] = []
         held: list[tuple[np.ndarray, int, int]] = []
-        signs: list[tuple[int, np.ndarray]] = []
+        signs: dict[int, list[tuple[int, np.ndarray]]] = {2: [], 3: []}
         seen: set[int] = set()
         size = 0
 
@@ -151,9 +154,9 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                 hot = tiers_of(frequent.value, key) > 0
                 deal = np.where(hot, mix(key ^ name.astype(np.int64).view(np.uint64)), mix(key))  # frequent ones lie anywhere
                 out += bucketed_blobs(1, deal, [key, name.astype("<i8"), n.astype("<i4"), at.astype("<i4")], buckets)
-            if signs:
-                name = np.array([s[0] for s in signs])
-                out += bucketed_blobs(2, mix(name.astype(np.int64).view(np.uint64)), [name.astype("<i8"), np.stack([s[1] for s in signs]).view(ENTRY[2][1]).ravel()], buckets)
+            for kind in (k for k in signs if signs[k]):
+                name = np.array([s[0] for s in signs[kind]])
+                out += bucketed_blobs(kind, mix(name.astype(np.int64).view(np.uint64)), [name.astype("<i8"), np.stack([s[1] for s in signs[kind]]).view(ENTRY[kind][1]).ravel()], buckets)
             return blob_batch(out)
 
         for batch in batches:
@@ -168,12 +171,15 @@ def _index_blobs(frequent, words: int, percent: int, buckets: int):
                     tier = tiers_of(frequent.value, s)
                     if tier.any():
                         s = s[np.argsort(tier, kind="stable")]
-                    signs.append((name, signature(s)))
+                    signs[2].append((name, signature(s)))
+                    if len(s) > long:
+                        signs[3].append((name, signature(s, WIDE_BITS)))
+                        size += WIDE_BITS // 8
                     held.append((s[:p].copy(), name, len(s)))
                     size += 24 * p + SIGN_BITS // 8
                 if size > FLUSH_BYTES:
                     yield packed()
-                    members, held, signs, size, seen = [], [], [], 0, set()
+                    members, held, signs, size, seen = [], [], {2: [], 3: []}, 0, set()
         if members:
             yield packed()
 
@@ -196,9 +202,10 @@ def _index_rows(frequent):
         for found in gather_blobs(batches, ENTRY):
             doc, name, n = found[0]
             yield from rows(0, doc, name, n, None, None)
-            name, sign = found[2]
-            _, own = np.unique(name, return_index=True)
-            yield from rows(2, None, name[own], None, None, None, sign[own])
+            for kind in (2, 3):
+                name, sign = found[kind]
+                _, own = np.unique(name, return_index=True)
+                yield from rows(kind, None, name[own], None, None, None, sign[own])
             key, name, n, pos = found[1]
             if not len(key):
                 continue
@@ -353,6 +360,13 @@ def _near(percent: int):
 CHUNK_BYTES = 4 << 20
 
 
+def _numbered(*columns: np.ndarray) -> Iterator[tuple[int, ...]]:
+    """Each row's number and values, of few rows at a time: Python's numbers take five times the room."""
+    for k in range(0, len(columns[0]), 1 << 13):
+        s = slice(k, k + (1 << 13))
+        yield from zip(range(k, k + len(columns[0][s])), *(c[s].tolist() for c in columns), strict=True)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Deals a task's pairs to chunks: pairs that sets connect meet in one, as far as CHUNK_BYTES go, so that a set is sent few times."""
     parts = [[batch[c].to_numpy().astype(np.int64) for c in ("a", "b", "na", "nb")] for batch in batches if batch.num_rows]
@@ -362,10 +376,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
     label = local_components(len(names), flat[: len(a)], flat[len(a) :])[flat[: len(a)]]
     order = np.lexsort((b, a, label))
-    a, b, label = a[order], b[order], label[order]
+    a, b, na, nb, label = a[order], b[order], na[order], nb[order], label[order]
     new = np.r_[True, label[1:] != label[:-1]]
     held, size = set(), 0
-    for k, (x, y, nx, ny) in enumerate(zip(a.tolist(), b.tolist(), na[order].tolist(), nb[order].tolist(), strict=True)):
+    for k, x, y, nx, ny in _numbered(a, b, na, nb):
         more = 8 * (nx * (x not in held) + ny * (y not in held))
         if new[k] or size + more > CHUNK_BYTES:
             new[k], held, size, more = True, set(), 0, 8 * (nx + ny)
@@ -375,7 +389,30 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk = pair_key(a[first], b[first]).view(np.int64)[np.cumsum(new) - 1]
     for k in range(0, len(a), 1 << 16):
         s = slice(k, k + (1 << 16))
-        yield pa.record_batch([pa.array(chunk[s]), pa.array(a[s]), pa.array(b[s])], names=["chunk", "a", "b"])
+        yield pa.record_batch([pa.array(x[s]) for x in (chunk, a, b, na, nb)], names=["chunk", "a", "b", "na", "nb"])
+
+
+def _far(percent: int):
+    """Which pairs of long sets the wide signatures rule out. Of a chunk come the signatures (b null), then the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, signs = None, {}
+        for batch in batches:
+            told = []
+            for chunk, a, b, na, nb, sign in zip(*(batch[c].to_pylist() for c in ("chunk", "a", "b", "na", "nb")), batch["sign"], strict=True):
+                if chunk != now:
+                    now, signs = chunk, {}
+                if b is None:
+                    signs[a] = np.frombuffer(sign.as_buffer(), np.uint64)
+                    continue
+                apart = int(np.bitwise_count(signs[a] ^ signs[b]).sum(dtype=np.int64))
+                told.append((a, b, na, nb, apart > na + nb - 2 * needed(na, nb, percent)))
+            if told:
+                a, b, na, nb, far = (np.array(x) for x in zip(*told, strict=True))
+                slot = (pair_key(a, b) & np.uint64(ANSWERED_SLOTS - 1)).astype(np.int64)
+                yield pa.record_batch([pa.array(x) for x in (a, b, na, nb, slot, far)], names=["a", "b", "na", "nb", "slot", "far"])
+
+    return run
 
 
 def _verify(percent: int):
@@ -419,12 +456,13 @@ class JaccardJoin:
         bounded_batches(self.spark)
         buckets = 4 * parallelism(self.spark)
         frequent = self.spark.sparkContext.broadcast(frequent_shingles(docs, words))
-        blobs = docs.select("doc_id", "text").mapInArrow(_index_blobs(frequent, words, percent, buckets), BLOB_SCHEMA)
-        rows = stored(by_bucket(blobs).mapInArrow(_index_rows(frequent), INDEX_SCHEMA))
+        blobs = docs.select("doc_id", "text").mapInArrow(lean(_index_blobs(frequent, words, percent, buckets, LONG)), BLOB_SCHEMA)
+        rows = stored(by_bucket(blobs).mapInArrow(lean(_index_rows(frequent)), INDEX_SCHEMA))
         frequent.unpersist()
         self.members = rows.where("kind = 0").select("doc_id", "name", "n")
         self.entries = rows.where("kind = 1").select("shingle", "name", "n", "pos")
         self.signs = rows.where("kind = 2").select("name", "sign")
+        self.wide = rows.where("kind = 3").select("name", "sign")
         self.holders = stored(self.members.groupBy("name").agg(F.min("doc_id").alias("doc_id")))
         self.n_links = 0
         self.refused: list[DataFrame] = []
@@ -438,10 +476,10 @@ class JaccardJoin:
         wanted = stored(told_all(names.distinct(), few).join(self.holders, "name"))
         texts = self.docs.select("doc_id", "text")
         if few:
-            found = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(_doc_sets(None, self.words), SETS_SCHEMA)
+            found = texts.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(lean(_doc_sets(None, self.words)), SETS_SCHEMA)
         else:
             bits = self.spark.sparkContext.broadcast(id_filter(wanted, "doc_id"))
-            found = with_slot(texts, "doc_id", "slot").mapInArrow(_doc_sets(bits, self.words), SETS_SCHEMA)
+            found = with_slot(texts, "doc_id", "slot").mapInArrow(lean(_doc_sets(bits, self.words)), SETS_SCHEMA)
         return found.join(told_all(wanted, few), ["doc_id", "name"]).select("chunk", "name", "shingles"), wanted
 
     def learn(self, pairs: DataFrame) -> tuple[int, int]:
@@ -451,17 +489,20 @@ class JaccardJoin:
         if count:
             sign = lambda s: self.signs.select(F.col("name").alias(s), F.col("sign").alias(f"sign_{s}"))
             signed = told_all(told_all(met, few).join(sign("a"), "a"), few).join(sign("b"), "b")
-            near, count = counted(signed.select("a", "b", F.col("na").cast("long").alias("na"), F.col("nb").cast("long").alias("nb"), "sign_a", "sign_b").mapInArrow(_near(self.percent), "a long, b long, na long, nb long"))
+            near, count = counted(signed.select("a", "b", F.col("na").cast("long").alias("na"), F.col("nb").cast("long").alias("nb"), "sign_a", "sign_b").mapInArrow(lean(_near(self.percent)), "a long, b long, na long, nb long"))
+        left = 0
         if count:
-            few = count <= FEW
-            pairs = stored((near.coalesce(1) if count <= FOREST_EDGES else near).mapInArrow(_chunks, "chunk long, a long, b long"))
-            sets, wanted = self.sets(pairs.select("chunk", F.col("a").alias("name")).union(pairs.select("chunk", "b")), few)
+            kept, left, used = self.not_far(near, count)
+        if left:
+            pairs, names, few = self.dealt(kept, left)
+            sets, wanted = self.sets(names, few)
             sets = sets.select("chunk", F.col("name").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
-            both = sets.unionByName(pairs.withColumn("shingles", F.lit(None).cast("binary"))).repartition(parallelism(self.spark), "chunk")
-            both = both.sortWithinPartitions("chunk", F.col("b").asc_nulls_first())
-            told, linked = counted(both.mapInArrow(_verify(self.percent), "a long, b long, slot long, linked boolean"), F.sum(F.col("linked").cast("long")))
-            discard(pairs, near, wanted)
+            both = self.by_chunk(sets, pairs.select("chunk", "a", "b", F.lit(None).cast("binary").alias("shingles")))
+            told, linked = counted(both.mapInArrow(lean(_verify(self.percent)), "a long, b long, slot long, linked boolean"), F.sum(F.col("linked").cast("long")))
+            discard(pairs, wanted)
             self.refused.append(told.where("not linked").select("a", "b", "slot"))
+        if count:
+            discard(*used)
         if linked:
             links = told.where("linked").select("a", "b")
             self.links = links if self.links is None else self.links.unionByName(links)
@@ -470,10 +511,37 @@ class JaccardJoin:
         discard(met)
         return count, linked
 
+    def dealt(self, pairs: DataFrame, count: int) -> tuple[DataFrame, DataFrame, bool]:
+        """The pairs (a, b, na, nb) with their chunks, stored; (chunk, name) of their sets; whether they are few."""
+        pairs = stored((pairs.coalesce(1) if count <= FOREST_EDGES else pairs).mapInArrow(lean(_chunks), "chunk long, a long, b long, na long, nb long"))
+        return pairs, pairs.select("chunk", F.col("a").alias("name")).union(pairs.select("chunk", "b")), count <= FEW
+
+    def by_chunk(self, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Each chunk's sets (b null), then its pairs."""
+        return sets.unionByName(pairs).repartition(parallelism(self.spark), "chunk").sortWithinPartitions("chunk", F.col("b").asc_nulls_first())
+
+    def not_far(self, near: DataFrame, count: int) -> tuple[DataFrame, int, list[DataFrame]]:
+        """The pairs (a, b, na, nb) that are left, how many, and the stored tables they are read from: those of two long sets that wide signatures rule out are answered no."""
+        long = F.least("na", "nb") > LONG
+        asked = near.where(long).count()
+        if not asked:
+            return near, count, [near]
+        pairs, names, few = self.dealt(near.where(long), asked)
+        signs = self.wide.join(told_all(names.distinct(), few), "name")
+        none = [F.lit(None).cast("long").alias(c) for c in ("b", "na", "nb")]
+        both = self.by_chunk(signs.select("chunk", F.col("name").alias("a"), *none, "sign"), pairs.withColumn("sign", F.lit(None).cast("binary")))
+        told, far = counted(both.mapInArrow(lean(_far(self.percent)), "a long, b long, na long, nb long, slot long, far boolean"), F.sum(F.col("far").cast("long")))
+        discard(pairs)
+        self.refused.append(told.where("far").select("a", "b", "slot"))
+        return near.where(~long).unionByName(told.where("not far").select("a", "b", "na", "nb")), count - far, [near]
+
     def with_components(self) -> DataFrame:
         if self.components is None:
             return self.entries.withColumn("component", F.col("name"))
-        return self.entries.join(self.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
+        # only entries that may have a component meet the components; at most a filter of 1 MB tells which
+        e = maybe_among(self.entries, "name", self.components, "name")
+        met = e.where("maybe").join(self.components, "name", "left").withColumn("component", F.coalesce("component", "name"))
+        return e.where("not maybe").withColumn("component", F.col("name")).unionByName(met).drop("maybe")
 
     def leaders(self) -> None:
         """Each list's sets are compared with a few leaders, the same ones in lists of the same sets.
@@ -524,7 +592,7 @@ class JaccardJoin:
         e = e.withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         e = e.select("shingle", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "name", "n", "pos", "component", "sign")
-        return e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(_list_pairs(self.percent, refused), "a long, b long, na long, nb long")
+        return e.repartition(parallelism(self.spark), "shingle", "left", "right").mapInArrow(lean(_list_pairs(self.percent, refused)), "a long, b long, na long, nb long")
 
 
 SETS_SCHEMA = "doc_id long, name long, shingles binary"
@@ -564,7 +632,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     judged = jaccard_members(rows, words, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    lost = rows.where("doc_id is null").mapInArrow(_sizes(words), "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    lost = rows.where("doc_id is null").mapInArrow(lean(_sizes(words)), "n_shingles long").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
     return judged.unionByName(lost)
 
 
@@ -600,7 +668,7 @@ def first_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
     rows = docs.select(whole_rows(docs).alias("row"), F.col(f"`{doc_id}`").cast("long").alias("own"))
     rows = maybe_among(rows, "own", grouped, "doc_id")
     schema = StructType([StructField("row", rows.schema["row"].dataType), StructField("own", LongType()), StructField("name", LongType())])
-    named = rows.where("maybe and own is not null").withColumn("text", F.col("row").getField(text)).select("row", "own", "text").mapInArrow(_named(words), schema)
+    named = rows.where("maybe and own is not null").withColumn("text", F.col("row").getField(text)).select("row", "own", "text").mapInArrow(lean(_named(words)), schema)
     met = named.join(grouped.withColumnRenamed("doc_id", "own"), ["own", "name"], "left")
     best = met.where("component is not null").groupBy("component").agg(F.min_by("row", row_order(docs, F.col("own"), F.col("row").getField(text))).alias("row"))
     parts = [rows.where("own is null or not maybe"), met.where("component is null"), best]

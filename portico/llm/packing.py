@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, lean
 
 CAPACITY = 1024
 END = 0
@@ -188,7 +188,7 @@ def pack(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", tokenizer:
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_pack(tokenizer or tokenizer_path(), capacity), SCHEMA)
+    return rows.mapInArrow(lean(_pack(tokenizer or tokenizer_path(), capacity)), SCHEMA)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import bounded_batches, stored, whole_rows
+from .common import bounded_batches, discard, lean, stored, whole_rows
 from .hashing import blocks, text_buffer
 from .thresholds import hash_rank, thresholds
 from .tokens import style_grams
@@ -87,42 +87,51 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     Null or empty text: no n-grams, score 0. Null ids: noise of the empty id. Without labelled rows, or
     without bad ones among them, all stay. Empty table: no rows.
     """
-    return _judged(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), labels, buckets, labelled, length).select("doc_id", "log_ratio", "score", "n_grams", "kept")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    scored, _, last = _judged(rows, labels, buckets, labelled, length)
+    return scored.withColumn("kept", F.col("rank") < F.lit(last)).select("doc_id", "log_ratio", "score", "n_grams", "kept")
 
 
-def _judged(rows: DataFrame, labels: DataFrame, buckets: int, labelled: int, length: float) -> DataFrame:
-    """The rows (doc_id, text, and what else is to be carried) with log_ratio, score, n_grams and kept instead of the text."""
+def _judged(rows: DataFrame, labels: DataFrame, buckets: int, labelled: int, length: float) -> tuple[DataFrame, Callable, int]:
+    """The rows (doc_id, text) scored and ranked, stored; what scores and ranks rows with more columns alike; the rank that kept rows are below."""
     spark = rows.sparkSession
     bounded_batches(spark)
-    carried = [f for f in rows.schema.fields if f.name != "text"]
     use = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality").withColumn("r", hash_rank(F.col("doc_id"))).orderBy("r", "doc_id").limit(labelled)
     known = {r["doc_id"]: r["quality"] for r in use.collect()}
     told = spark.sparkContext.broadcast(known)
-    found = rows.select("doc_id", "text").mapInArrow(_counts(told, buckets), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    found = rows.select("doc_id", "text").mapInArrow(lean(_counts(told, buckets)), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.ones(buckets), np.ones(buckets)
     raw[found["bucket"]] += found["raw"]
     target[found["bucket"]] += found["target"]
     half = buckets // 2
-    ratio = np.concatenate([np.log(target[s] / target[s].sum()) - np.log(raw[s] / raw[s].sum()) for s in (slice(0, half), slice(half, None))])
-    scored = rows.mapInArrow(_scores(spark.sparkContext.broadcast(ratio), buckets), StructType([*carried, *[StructField(c, t) for c, t in (("log_ratio", DoubleType()), ("score", DoubleType()), ("n_grams", LongType()))]]))
+    ratio = spark.sparkContext.broadcast(np.concatenate([np.log(target[s] / target[s].sum()) - np.log(raw[s] / raw[s].sum()) for s in (slice(0, half), slice(half, None))]))
     uniform = (hash_rank(F.concat(F.lit("gumbel"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))) + 0.5) / float(1 << 60)
-    scored = stored(scored.withColumn("key", F.col("score") - F.log(-F.log(uniform)) / F.lit(length)))
+    key = F.col("score") - F.log(-F.log(uniform)) / F.lit(length)
+    rank = F.least(F.greatest(F.floor((F.lit(64.0) - key) * float(1 << 52)), F.lit(0)), F.lit((1 << 60) - 1)).cast("long")  # highest key first
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        carried = [f for f in rows.schema.fields if f.name != "text"]
+        schema = StructType([*carried, *[StructField(c, t) for c, t in (("log_ratio", DoubleType()), ("score", DoubleType()), ("n_grams", LongType()))]])
+        return rows.mapInArrow(lean(_scores(ratio, buckets)), schema).withColumn("rank", rank)
+
+    scored = stored(ranked(rows))
     sample = use.select(F.col("doc_id").alias("id"), "quality").join(scored, F.col("id") == F.col("doc_id")).select("score", "quality").toPandas()
     cut = best_cut(sample["score"].to_numpy(float), sample["quality"].to_numpy() == 1)
     k = scored.where(F.col("score") >= cut).count()
-    rank = F.least(F.greatest(F.floor((F.lit(64.0) - F.col("key")) * float(1 << 52)), F.lit(0)), F.lit((1 << 60) - 1)).cast("long")  # highest key first
-    ranked = scored.withColumn("one", F.lit(1)).withColumn("all", F.lit(0)).withColumn("rank", rank)
-    narrow = ranked.select("one", "all", "rank")
+    narrow = scored.select(F.lit(1).alias("one"), F.lit(0).alias("all"), "rank")
     budget = spark.range(1).select(F.lit(0).alias("all"), F.lit(float(k)).alias("budget"))
     bound = thresholds(narrow, "all", "rank", "one", budget).first() if k else None
     last = bound["bound"] + int(bound["at_bound"] > 0 and bound["below"] < k) if bound else 0  # ties at the end stay, unless k are full before them
-    return ranked.withColumn("kept", F.col("rank") < F.lit(last)).drop("one", "all", "rank", "key")
+    return scored, ranked, last
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that `quality_scores` keeps, all columns as they are.
 
-    Each row follows its own verdict, also where ids repeat or are null. The rows are scored and written once, and not shuffled.
+    Each row follows its own verdict, also where ids repeat or are null. The rows are not shuffled, and only scores are written: for the
+    bound first, and again, the same from the same text, where the rows are read.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), whole_rows(docs).alias("row"))
-    return _judged(rows, labels, BUCKETS, LABELLED, LENGTH).where("kept").select("row.*")
+    scored, ranked, last = _judged(rows.drop("row"), labels, BUCKETS, LABELLED, LENGTH)
+    discard(scored)
+    return ranked(rows).where(F.col("rank") < F.lit(last)).select("row.*")

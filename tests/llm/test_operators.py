@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from statistics import NormalDist
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pytest
 
 from portico.llm import embedding_join, exact_dedup, jaccard_join, licenses, mixing, packing, quality, suffix_dedup, toxicity, url_rules
-from portico.llm.common import components, local_components
+from portico.llm.common import components, lean, local_components
 from portico.llm.hashing import text_buffer
 from portico.llm.tokens import style_grams
 
@@ -712,3 +713,73 @@ def test_jaccard_chunks_send_each_connected_set_once():
     assert all(8 * sum(size[n] for n in held) <= jaccard_join.CHUNK_BYTES for held in chunks.values() if 900 not in held)
     assert sum(100 in held for held in chunks.values()) == math.ceil(200 / (jaccard_join.CHUNK_BYTES // 320_000 - 1))
     assert list(jaccard_join._chunks(iter([]))) == []
+
+
+@pytest.mark.parametrize("seed", [4, 6])
+def test_jaccard_long_sets_are_ruled_out_by_wide_signatures(spark, seed, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG", 6)
+    seen = []
+    was = jaccard_join.JaccardJoin.not_far
+
+    def not_far(self, near, count):
+        out = was(self, near, count)
+        seen.append((count, out[1], out[0].count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join.JaccardJoin, "not_far", not_far)
+    rows = corpus(seed)
+    found = rows_of(jaccard_join.jaccard_components(docs_of(spark, rows).repartition(3)))
+    assert {i: r["component_id"] for i, r in found.items()} == brute_components(brute_sets(rows))
+    assert seen and all(left == there <= count for count, left, there in seen)
+
+
+def test_wide_signatures_tell_long_sets_apart():
+    """Before, unlike sets of some thousand shingles were sent as a whole: in signatures of 2,048 bits they cannot differ enough."""
+    r = np.random.default_rng(5)
+    base = r.integers(0, 1 << 62, 6000).astype(np.uint64)
+    other = lambda same: np.unique(np.concatenate([base[:same], r.integers(0, 1 << 62, 6000 - same).astype(np.uint64)]))
+    sets = {1: np.unique(base), 2: other(1000), 3: other(4500), 4: other(5300), 5: other(5900)}
+    signs = {k: jaccard_join.signature(s) for k, s in sets.items()}
+    pairs = [(1, k, 6000, 6000) for k in (2, 3, 4, 5)]
+    limit = 12_000 - 2 * jaccard_join.needed(6000, 6000, 75)
+    assert all(np.bitwise_count(signs[1] ^ signs[k]).sum() <= limit for k in sets)
+    none = [None] * 5
+    rows = [*zip([7] * 5, sets, none, none, none, [jaccard_join.signature(s, jaccard_join.WIDE_BITS).tobytes() for s in sets.values()], strict=True), *[(7, *p, None) for p in pairs]]
+    kinds = [pa.int64()] * 5 + [pa.binary()]
+    batches = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*part, strict=True), kinds, strict=True)], names=["chunk", "a", "b", "na", "nb", "sign"]) for part in (rows[:7], rows[7:])]
+    far = {t["b"]: t["far"] for out in jaccard_join._far(75)(iter(batches)) for t in out.to_pylist()}
+    assert far == {2: True, 3: True, 4: False, 5: False}
+
+
+def test_workers_keep_no_freed_memory():
+    """Before, a worker that waited beside others kept what its last task had freed."""
+    mb = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1]) / 1024
+    kept = []
+
+    def run(batches):
+        held = [np.ones(1000) for _ in range(25_000)]  # 200 MB in pieces that lie in the heap, with one at its end that stays
+        kept.append(np.ones(1000))
+        yield from batches
+        del held
+
+    before = mb()
+    task = lean(run)(iter([1]))
+    assert next(task) == 1 and mb() > before + 150
+    assert list(task) == []
+    assert mb() < before + 60
+
+
+def test_quality_writes_scores_alone(spark):
+    """Before, the rows with their texts were written beside the scores, and stayed while later stages ran."""
+    r = random.Random(8)
+    good, labels = labelled(spark, 60)
+    long = docs_of(spark, [(5000 + i, " ".join(f"{r.getrandbits(60):x}" for _ in range(4000)), "s") for i in range(40)])
+    docs = good.unionByName(long).repartition(3)
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    before = size()
+    kept = quality.good_documents(docs, labels)
+    rows = kept.select("doc_id", "text").collect()
+    assert 10 * (size() - before) < sum(len(x["text"] or "") for x in docs.collect())
+    verdict = [x["doc_id"] for x in quality.quality_scores(docs, labels).where("kept").collect()]
+    assert sorted(x[0] for x in rows) == sorted(verdict) and len(verdict) < docs.count()
